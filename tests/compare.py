@@ -1,0 +1,41 @@
+"""Compares registered queries with their SQL twins on the same tables."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+    return con
+
+
+def _rows(frame: pd.DataFrame) -> list[tuple]:
+    columns = sorted(frame.columns)
+    cleaned = []
+    for column in columns:
+        values = frame[column].tolist()
+        cleaned.append([None if v is None or (isinstance(v, float) and math.isnan(v)) else v for v in values])
+    return sorted(zip(*cleaned), key=repr)
+
+
+def differences(spark_result: DataFrame, sql_result: pd.DataFrame) -> str | None:
+    ours = spark_result.toPandas()
+    if sorted(ours.columns) != sorted(sql_result.columns):
+        return f"columns {sorted(ours.columns)} != {sorted(sql_result.columns)}"
+    left, right = _rows(ours), _rows(sql_result)
+    if len(left) != len(right):
+        return f"{len(left)} rows != {len(right)}"
+    for a, b in zip(left, right):
+        if a != b:
+            return f"{a} != {b}"
+    return None
