@@ -124,7 +124,7 @@ def _row_products(entries: DataFrame, share: Column) -> DataFrame:
     its pairs where it lies; they combine before they are shuffled."""
     entry = F.struct("index", "columns", (F.col("unit") / share).alias("unit"))
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = entries.repartition(tasks, "id").groupBy("id").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    lists = entries.repartition(tasks, "id").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
     first = lists.select("e", F.posexplode("e").alias("pos", "i"))
     later = F.slice("e", F.col("pos") + 2, F.size("e"))
     both = first.select("i", F.explode_outer(later).alias("j")).where(F.col("j").isNotNull())

@@ -79,7 +79,7 @@ def hashed_bag(df: DataFrame, *keys: str, tokens: str = "tokens") -> DataFrame:
 def fold(entries: DataFrame, key: str, size: int, output: str = "features") -> DataFrame:
     """Long form back to one sparse vector per key. A key has at most `size`
     entries, so the gathered group is bounded."""
-    lists = entries.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("e"))
+    lists = entries.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "value"))).alias("e"))
     return lists.select(key, sparse_vector(size, F.col("e.index"), F.col("e.value")).alias(output))
 
 

@@ -36,7 +36,7 @@ def rarity_ordered(elements: DataFrame) -> DataFrame:
     elements are those of one text, so the gathered list is bounded by it."""
     freq = elements.groupBy("element").agg(F.count("*").alias("df"))
     ranked = elements.join(freq, "element")
-    lists = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "element"))).alias("e"))
+    lists = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("e"))
     return lists.select("id", F.col("e.element").alias("elements"))
 
 
@@ -257,7 +257,9 @@ def jaccard_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         met = met.select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
         pairs = with_payload(spread_pairs(met), sets, "buckets")
     scored = pairs.withColumn("distance", jaccard_distance(F.col("left"), F.col("right")))
-    return scored.where(F.col("distance") < threshold).drop("left", "right").unionByName(self_pairs(sets))
+    if threshold <= 1:
+        scored = scored.where(F.col("distance") < threshold)
+    return scored.drop("left", "right").unionByName(self_pairs(sets))
 
 
 def _rarest_first(sets: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -19,7 +21,10 @@ ATTRIBUTES = _strings("product_uid", "name", "value")
 DESCRIPTIONS = _strings("product_uid", "description")
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as it is read the first time; listing its files and reading its
+    schema once serves every query of the session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +35,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
+@lru_cache(maxsize=64)
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, product_uid, title, search_term, relevance: one row per user turn."""
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
@@ -53,6 +59,7 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train(spark, sf_dir).drop("relevance")
 
 
+@lru_cache(maxsize=64)
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_uid, name, value: each part unpivoted in one scan."""
     parts = table(spark, sf_dir, "part").select(
@@ -64,6 +71,7 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.unpivot("product_uid", ["brand", "type", "size"], "name", "value")
 
 
+@lru_cache(maxsize=64)
 def product_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("product_uid"), F.col("text").alias("description")
