@@ -97,11 +97,7 @@ def self_pairs(sets: DataFrame) -> DataFrame:
     )
 
 
-def _prefix_candidates(sets: DataFrame, prefix: Column, condition: Column) -> DataFrame:
-    """Pairs (a, b) whose first `prefix` elements meet, ids and sizes only."""
-    short = sets.select("set_id", F.size("elements").alias("n"), F.slice("elements", 1, prefix).alias("p"))
-    posted = short.select("set_id", "n", F.posexplode("p").alias("pos", "element"))
-    met = as_pairs(posted, posted, ["element"], condition)
+def _pair_ids(met: DataFrame) -> DataFrame:
     pairs = met.select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
     return spread_pairs(pairs).distinct()
 
@@ -133,7 +129,9 @@ def jaccard_candidates(sets: DataFrame, threshold: float) -> DataFrame:
     # later one the bound is too low, but then the first has let the pair pass.
     tail = 1 + F.least(n_a - F.col("a.pos") - 1, n_b - F.col("b.pos") - 1)
     reachable = tail >= s / (1 + s) * (n_a + n_b) - slack
-    return _prefix_candidates(sets, prefix, sizes_fit & reachable)
+    short = sets.select("set_id", size.alias("n"), F.slice("elements", 1, prefix).alias("p"))
+    posted = short.select("set_id", "n", F.posexplode("p").alias("pos", "element"))
+    return _pair_ids(as_pairs(posted, posted, ["element"], sizes_fit & reachable))
 
 
 def jaccard_pairs_exact(bag: DataFrame, threshold: float) -> DataFrame:
@@ -164,16 +162,24 @@ def euclidean_candidates(sets: DataFrame, threshold: float) -> DataFrame:
     """All pairs that can lie below the threshold on whole counts.
 
     The squared distance is then at most m = ceil(threshold^2) - 1, and so is
-    the number of elements that only one side has. Two sets that differ in m
-    elements at most meet within the first m + 1, unless they have no more
-    than m elements together; those meet in an element added for the purpose."""
+    the number of elements that only one side has. All elements ahead of the
+    first that both have are such elements, so its places (0, 1, ...) in the two
+    lists sum to m at most. Each place is joined with the places it may meet;
+    a common word at the end of many short texts meets nothing in vain. Two
+    sets without a common element have m elements together at most, and those
+    are joined by size."""
     m = ceil(threshold * threshold) - 1
-    met = _prefix_candidates(sets, F.lit(m + 1), F.abs(F.col("a.n") - F.col("b.n")) <= m)
-    tiny = sets.where(F.size("elements") <= m).select("set_id", F.size("elements").alias("n"))
+    size = F.size("elements")
+    short = sets.select("set_id", size.alias("n"), F.slice("elements", 1, m + 1).alias("p"))
+    posted = short.select("set_id", "n", F.posexplode("p").alias("pos", "element"))
+    facing = posted.withColumn("other", F.explode(F.sequence(F.lit(0), m - F.col("pos"))))
+    turned = facing.select("set_id", "n", F.col("other").alias("pos"), "element", F.col("pos").alias("other"))
+    met = as_pairs(facing, turned, ["element", "pos", "other"], F.abs(F.col("a.n") - F.col("b.n")) <= m)
+    tiny = sets.where(size <= m).select("set_id", size.alias("n"))
     salted = tiny.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS)))
     repeated = tiny.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     small = as_pairs(salted, repeated, ["salt"], F.col("a.n") + F.col("b.n") <= m)
-    return met.unionByName(small.select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))).distinct()
+    return _pair_ids(met).unionByName(_pair_ids(small)).distinct()
 
 
 def squared_distance(left: Column, right: Column) -> Column:
