@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfscore.functions.arrays import explode_rows
 from shelfscore.functions.text import is_stopword, prose_tokens, regex_tokenize, title_tokens
+from shelfscore.sources.scratch import lookup
 
 
 def description_tokens(descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
@@ -78,16 +79,21 @@ def unite_texts(left: DataFrame, shared: DataFrame, words: Iterable[str] | None
     return add_bags(own, inherited)
 
 
-def only_products_of(texts: DataFrame, rows: DataFrame) -> DataFrame:
+def products_of(rows: DataFrame) -> DataFrame:
+    return lookup(rows.select("product_uid").distinct(), "products")
+
+
+def only_products(texts: DataFrame, products: DataFrame) -> DataFrame:
     """Drop texts of products that no row refers to before tokenising them."""
-    return texts.join(rows.select("product_uid").distinct(), "product_uid", "left_semi")
+    return texts.join(products, "product_uid", "left_semi")
 
 
 def shared_bag(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
     """Attribute and description terms of every product that has rows."""
+    products = products_of(rows)
     return add_bags(
-        attribute_tokens(only_products_of(attributes, rows), words),
-        count_terms(description_tokens(only_products_of(descriptions, rows), words), "product_uid"),
+        attribute_tokens(only_products(attributes, products), words),
+        count_terms(description_tokens(only_products(descriptions, products), words), "product_uid"),
     )
 
 

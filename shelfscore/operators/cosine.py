@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfscore.functions.sampling import unit_hash
 from shelfscore.operators.bags import count_terms
 from shelfscore.operators.features import l2_normalize, row_count, smoothed_idf
-from shelfscore.sources.scratch import written
+from shelfscore.sources.scratch import lookup, written
 
 # Fixed value: similarity from which the sampled column cosine is to be exact
 # to within its error bound.
@@ -65,7 +65,7 @@ def query_product_cosine(training: DataFrame, search: DataFrame, shared: DataFra
         raise ValueError("on must be id or product_uid")
     shared = written(shared, "product-bag")
     counts = written(_term_counts(training, search, shared), "term-counts")
-    idf = _term_idf(counts, shared, training)
+    idf = lookup(_term_idf(counts, shared, training), "term-idf")
     weighed = counts.join(idf, "term")
     whole = (F.col("own") + F.col("inherited")) * F.col("product_idf")
     base = F.col("inherited") * F.col("product_idf")
@@ -85,7 +85,7 @@ def query_product_cosine(training: DataFrame, search: DataFrame, shared: DataFra
         return joined.select("id", "product_uid", "relevance", cosine)
 
     units = l2_normalize(weighed.where(F.col("asked") > 0).select("id", "product_uid", "term", asked.alias("weight")), "id")
-    centre = units.groupBy("product_uid", "term").agg(F.sum("unit").alias("unit"))
+    centre = lookup(units.groupBy("product_uid", "term").agg(F.sum("unit").alias("unit")), "search-centres")
     by_term = ["product_uid", "term"]
     base_dots = shared.join(centre, by_term).join(idf, "term").groupBy("product_uid")
     base_dots = base_dots.agg(F.sum(F.col("tf") * F.col("product_idf") * F.col("unit")).alias("base_dot"))
@@ -108,11 +108,13 @@ def assemble(left: DataFrame, right: DataFrame, left_size: int) -> DataFrame:
 
 
 def _unit_columns(entries: DataFrame) -> DataFrame:
-    """Entries with their column's norm and length-1 value."""
+    """Entries with their column's norm and length-1 value. There are as many
+    norms as columns, 40,000 for the hashed matrices."""
     norms = entries.groupBy("index").agg(
         F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.count("*").alias("rows")
     )
-    present = entries.join(norms.where(F.col("norm") > 0), "index")
+    norms = lookup(norms.where(F.col("norm") > 0), "column-norms")
+    present = entries.join(norms, "index")
     return present.withColumn("unit", F.col("value") / F.col("norm"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfscore.functions.arrays import explode_rows
 from shelfscore.functions.vectors import sparse_vector, vector_entries
+from shelfscore.sources.scratch import lookup
 
 # Fixed value: number of hash buckets of every hashed feature vector.
 BUCKETS = 20_000
@@ -29,10 +30,15 @@ def smoothed_idf(n_rows: Column, df: Column) -> Column:
     return F.log((n_rows + 1) / (df + 1))
 
 
-def tfidf_terms(bag: DataFrame, n_rows: Column, term: str = "term") -> DataFrame:
+def term_idf(bag: DataFrame, n_rows: Column, term: str = "term") -> DataFrame:
+    """(term, df, idf) of a bag."""
+    return bag_doc_freq(bag, term).withColumn("idf", smoothed_idf(n_rows, F.col("df")))
+
+
+def tfidf_terms(bag: DataFrame, n_rows: Column) -> DataFrame:
     """Adds df, idf and weight = tf * ln((N + 1) / (df + 1)) to a bag."""
-    idf = bag_doc_freq(bag, term).withColumn("idf", smoothed_idf(n_rows, F.col("df")))
-    return bag.join(idf, term).withColumn("weight", F.col("tf") * F.col("idf"))
+    idf = lookup(term_idf(bag, n_rows), "term-idf")
+    return bag.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
 def row_count(df: DataFrame) -> Column:
@@ -100,7 +106,7 @@ def attach_vector(rows: DataFrame, vectors: DataFrame, output: str, size: int =
 
 
 def idf_weights(counts: DataFrame, n_rows: Column) -> DataFrame:
-    """IDF over the long hashed form: (id, index, value) with tf-idf values."""
-    named = counts.withColumnRenamed("value", "tf")
-    weighted = tfidf_terms(named, n_rows, term="index")
-    return weighted.select("id", "index", F.col("weight").alias("value"))
+    """IDF over the long hashed form: (id, index, value) with tf-idf values.
+    There is one idf per bucket, 20,000 at most, so they are broadcast."""
+    idf = F.broadcast(term_idf(counts, n_rows, "index").select("index", "idf"))
+    return counts.join(idf, "index").select("id", "index", (F.col("value") * F.col("idf")).alias("value"))

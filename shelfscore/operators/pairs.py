@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfscore.functions.vectors import vector_entries, vector_indices
 from shelfscore.operators.features import BUCKETS, attach_vector, fold
-from shelfscore.sources.scratch import written
+from shelfscore.sources.scratch import lookup, written
 
 # Fixed values of the approximate joins.
 HASH_TABLES = 3
@@ -34,7 +34,7 @@ SALTS = 64
 def rarity_ordered(elements: DataFrame) -> DataFrame:
     """(id, element) to one row per id: its elements, rarest first. A row's
     elements are those of one text, so the gathered list is bounded by it."""
-    freq = elements.groupBy("element").agg(F.count("*").alias("df"))
+    freq = lookup(elements.groupBy("element").agg(F.count("*").alias("df")), "element-df")
     ranked = elements.join(freq, "element")
     lists = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("e"))
     return lists.select("id", F.col("e.element").alias("elements"))
@@ -60,7 +60,7 @@ def collapse(digested: DataFrame, *payload: str) -> DataFrame:
 
 def members(digested: DataFrame) -> DataFrame:
     """(id, set_id): which group each row belongs to."""
-    groups = digested.groupBy("digest").agg(F.min("id").alias("set_id"))
+    groups = lookup(digested.groupBy("digest").agg(F.min("id").alias("set_id")), "groups")
     return digested.select("id", "digest").join(groups, "digest").select("id", "set_id")
 
 

@@ -11,7 +11,7 @@ from shelfscore.plans import inputs
 from shelfscore.plans import sql as S
 from shelfscore.plans.registry import registered
 from shelfscore.sources import files, tables
-from shelfscore.sources.scratch import scratch_dir
+from shelfscore.sources.scratch import scratch_dir, written
 
 
 def _words(column: str) -> F.Column:
@@ -140,8 +140,8 @@ def concat_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.query([S.TRAIN], "select id, cast(cast(relevance as varchar) as double) as label from train"),
 )
 def cast_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    written = tables.train(spark, sf_dir).select("id", F.col("relevance").cast("string").alias("relevance"))
-    return written.select("id", F.col("relevance").cast("double").alias("label"))
+    as_text = tables.train(spark, sf_dir).select("id", F.col("relevance").cast("string").alias("relevance"))
+    return as_text.select("id", F.col("relevance").cast("double").alias("label"))
 
 
 @registered(
@@ -154,7 +154,8 @@ order by ('0x' || substr(md5(id || ':' || term), 1, 8))::bigint, id, term limit
     ),
 )
 def limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.limit_rows(inputs.bundle_bag(spark, sf_dir), 50_000, "id", "term")
+    bag = written(inputs.bundle_bag(spark, sf_dir), "bundle-bag")
+    return rows.limit_rows(bag, 50_000, "id", "term")
 
 
 # ---- text functions --------------------------------------------------------
@@ -255,7 +256,7 @@ def attribute_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def unite_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = tables.train(spark, sf_dir)
-    known = bags.only_products_of(tables.attributes(spark, sf_dir), train)
+    known = bags.only_products(tables.attributes(spark, sf_dir), bags.products_of(train))
     return bags.unite_texts(inputs.training(spark, sf_dir), bags.attribute_tokens(known, S.STOPWORDS), S.STOPWORDS)
 
 

@@ -24,3 +24,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def lookup(df: DataFrame, label: str) -> DataFrame:
+    """A table with one row per key, written before large tables join it.
+
+    Adaptive execution splits a hot key only where both join inputs come
+    straight from a shuffle. An aggregate by the join key sits between shuffle
+    and join and would leave the hot key in one task; its written result is
+    shuffled (or broadcast, by its real size) for the join alone."""
+    return written(df, label)
