@@ -21,7 +21,7 @@ from shelfscore.sources.scratch import lookup, written
 # Fixed values of the approximate joins.
 HASH_TABLES = 3
 BUCKET_LENGTH = 2.0
-THRESHOLD = 1.5
+THRESHOLD = 1.5  # Euclidean; above every Jaccard distance
 SEED = 1234
 
 # Tasks that share the work on rows of one or two words.
@@ -240,14 +240,17 @@ def minhash_sets(counts: DataFrame, tables: int = HASH_TABLES, seed: int = SEED)
     return written(signed.drop("features"), "minhash-sets"), members(digested)
 
 
-def jaccard_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def jaccard_lsh_join(sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs that share a MinHash bucket in any table and lie below threshold.
 
     Below 1 the candidates come from the exact filter and those sharing a
     bucket are kept: the same pairs as from opening the buckets, without the
-    pairs of a crowded bucket that are too far apart. From 1 on every pair of a
-    bucket is itself a result; each is taken in its first common table, so none
-    has to be shuffled for duplicates."""
+    pairs of a crowded bucket that are too far apart.
+
+    No distance exceeds 1, so a threshold above it excludes nothing and asks
+    for every pair of every bucket. That result itself grows with the square
+    of a bucket; choose a threshold below 1 on large tables. Each pair is then
+    taken in its first common table, so none is shuffled for duplicates."""
     if threshold < 1:
         ordered = _rarest_first(sets)
         pairs = with_payload(jaccard_candidates(ordered, threshold), sets, "buckets")

@@ -11,7 +11,7 @@ from shelfscore.plans import inputs
 from shelfscore.plans import sql as S
 from shelfscore.plans.registry import registered
 from shelfscore.sources import files, tables
-from shelfscore.sources.scratch import scratch_dir, written
+from shelfscore.sources.scratch import lookup, scratch_dir, written
 
 
 def _words(column: str) -> F.Column:
@@ -318,17 +318,21 @@ def doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(
     "left_join_uid",
     S.query(
-        [S.TRAIN, S.ATTRIBUTES],
+        [S.TRAIN, S.ATTRIBUTES, S.ATTRIBUTE_BAG],
         """
-select t.id, t.product_uid, a.text, a.copies
+select t.id, t.product_uid, a.terms, a.tokens
 from train t left join (
-  select product_uid, name || ' ' || value as text, count(*) as copies from attributes group by all) a
+  select product_uid, count(*) as terms, cast(sum(tf) as bigint) as tokens from attribute_bag group by product_uid) a
 on a.product_uid = t.product_uid""",
     ),
 )
 def left_join_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = collect_text_by_key(spark, sf_dir)
-    return tables.train(spark, sf_dir).select("id", "product_uid").join(texts, "product_uid", "left")
+    """Rows with their product's attribute totals: many to one, as the right side
+    is grouped by product first."""
+    bag = bags.attribute_tokens(tables.attributes(spark, sf_dir), S.STOPWORDS)
+    totals = bag.groupBy("product_uid").agg(F.count("*").alias("terms"), F.sum("tf").alias("tokens"))
+    totals = lookup(totals, "attribute-totals")
+    return tables.train(spark, sf_dir).select("id", "product_uid").join(totals, "product_uid", "left")
 
 
 @registered(

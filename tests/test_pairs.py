@@ -139,7 +139,7 @@ def test_counted_examples_stand_for_all_row_pairs(spark):
     rows, counts = hashed(spark, bags)
     labelled = rows.withColumn("label", F.col("id") % 4)
     sets, members = pairs.minhash_sets(counts)
-    found = pairs.jaccard_lsh_join(sets)
+    found = pairs.jaccard_lsh_join(sets, 0.8)
     listed = Counter((x % 4, d) for (x, _), d in expanded(spark, sets, members, found).items())
     counted = pairs.labelled_distances(found, members, labelled, "label").collect()
     totals = Counter()
