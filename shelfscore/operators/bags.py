@@ -51,12 +51,16 @@ def collect_text_by_key(df: DataFrame, key: str, text: Column) -> DataFrame:
     return df.select(key, text.alias("text")).groupBy(key, "text").agg(F.count("*").alias("copies"))
 
 
-def attribute_tokens(attributes: DataFrame, words: Iterable[str]) -> DataFrame:
-    """Name and value of every attribute row folded into one bag per product;
-    rows without a product are dropped."""
+def attribute_texts(attributes: DataFrame, words: Iterable[str]) -> DataFrame:
+    """(product_uid, tokens) of every attribute row's name and value; rows
+    without a product are dropped."""
     known = attributes.where(F.col("product_uid").isNotNull())
-    text = F.concat_ws(" ", "name", "value")
-    return count_terms(known, "product_uid", tokens=prose_tokens(text, words))
+    return known.select("product_uid", prose_tokens(F.concat_ws(" ", "name", "value"), words).alias("tokens"))
+
+
+def attribute_tokens(attributes: DataFrame, words: Iterable[str]) -> DataFrame:
+    """All attribute rows of a product folded into one bag."""
+    return count_terms(attribute_texts(attributes, words), "product_uid")
 
 
 def test_search_bundle(test: DataFrame, words: Iterable[str]) -> DataFrame:
@@ -88,13 +92,16 @@ def only_products(texts: DataFrame, products: DataFrame) -> DataFrame:
     return texts.join(products, "product_uid", "left_semi")
 
 
-def shared_bag(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
-    """Attribute and description terms of every product that has rows."""
+def product_texts(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
+    """(product_uid, tokens) of all texts of the products that have rows."""
     products = products_of(rows)
-    return add_bags(
-        attribute_tokens(only_products(attributes, products), words),
-        count_terms(description_tokens(only_products(descriptions, products), words), "product_uid"),
-    )
+    values = attribute_texts(only_products(attributes, products), words)
+    return values.unionByName(description_tokens(only_products(descriptions, products), words))
+
+
+def shared_bag(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
+    """Attribute and description terms per product, counted in one pass."""
+    return count_terms(product_texts(rows, attributes, descriptions, words), "product_uid")
 
 
 def product_bundle(train: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:

@@ -52,11 +52,11 @@ def bundle_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bundle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, index, value): hashed counts of the bundle. Texts are hashed where
     they lie, so only buckets are shuffled."""
-    products = bags.products_of(tables.train(spark, sf_dir))
-    known = bags.only_products(tables.attributes(spark, sf_dir), products).where(F.col("product_uid").isNotNull())
-    values = known.select(
-        "product_uid", bags.prose_tokens(F.concat_ws(" ", "name", "value"), STOPWORDS).alias("tokens")
+    texts = bags.product_texts(
+        tables.train(spark, sf_dir),
+        tables.attributes(spark, sf_dir),
+        tables.product_descriptions(spark, sf_dir),
+        STOPWORDS,
     )
-    prose = bags.description_tokens(bags.only_products(tables.product_descriptions(spark, sf_dir), products), STOPWORDS)
-    counts = features.hashed_bag(values.unionByName(prose), "product_uid")
+    counts = features.hashed_bag(texts, "product_uid")
     return features.hashed_bundle(training(spark, sf_dir), counts)
