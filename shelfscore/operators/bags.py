@@ -45,6 +45,13 @@ def add_bags(*bags: DataFrame) -> DataFrame:
     return both.groupBy(*keys).agg(F.sum("tf").alias("tf"))
 
 
+def without_stopwords(bag: DataFrame, words: DataFrame) -> DataFrame:
+    """Drop terms that are in a word table; the way for lists too long to be
+    part of an expression."""
+    listed = lookup(words.select(F.lower("word").alias("term")).distinct(), "stopwords")
+    return bag.join(listed, "term", "left_anti")
+
+
 def collect_text_by_key(df: DataFrame, key: str, text: Column) -> DataFrame:
     """All texts of a key as a multiset (key, text, copies); the order within a
     group carries no meaning."""

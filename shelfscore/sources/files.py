@@ -13,10 +13,16 @@ from pyspark.sql.types import StructType
 MAX_STOPWORDS = 20_000
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header CSV with declared types; quotes inside fields are doubled."""
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
-    return reader.option("escape", '"').csv(path)
+def scan_csv(
+    spark: SparkSession, path: str, schema: StructType, strict: bool = True, line_breaks: bool = False
+) -> DataFrame:
+    """Header CSV with declared types; quotes inside fields are doubled.
+
+    A value that is not of its type fails the job, or reads as null if not
+    strict. Files are split between tasks unless fields may hold line breaks."""
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("multiLine", line_breaks)
+    return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -107,10 +107,19 @@ def test_csv_round_trip_with_quotes_and_line_breaks(spark):
     data = [("1", 'a "quoted", text'), ("2", "two\nlines"), ("3", None)]
     df = spark.createDataFrame(data, tables.DESCRIPTIONS)
     path = files.write_csv(df, scratch_dir(spark, "csv"))
-    back = files.scan_csv(spark, path, tables.DESCRIPTIONS)
+    back = files.scan_csv(spark, path, tables.DESCRIPTIONS, line_breaks=True)
     assert sorted(map(tuple, back.collect())) == sorted(data)
 
 
+def test_junk_labels_fail_unless_lenient(spark, tmp_path):
+    (tmp_path / "train.csv").write_text("id,uid,title,search,relevance\n1,2,lamp,red lamp,2.5\n2,2,lamp,lamp,high\n")
+    path = str(tmp_path / "train.csv")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.scan_csv(spark, path, tables.TRAIN).collect()
+    lenient = files.scan_csv(spark, path, tables.TRAIN, strict=False)
+    assert [r["relevance"] for r in lenient.orderBy("id").collect()] == [2.5, None]
+
+
 def test_stopword_file_is_split_on_non_word_characters(spark, tmp_path):
     (tmp_path / "words.csv").write_bytes(b"a,\r\ndon't,\r\nThe,\r\na,\r\n\r\n")
     words = files.load_stopwords(spark, str(tmp_path / "words.csv"))

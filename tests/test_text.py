@@ -120,3 +120,10 @@ def test_search_terms_of_a_product_meet_in_one_bag(spark):
         (5, "lamp"): 2,
         (5, "lampshade"): 1,
     }
+
+
+def test_long_stopword_list_as_a_table(spark):
+    docs = spark.createDataFrame([(1, ["the", "lamp", "lamp"])], "id long, tokens array<string>")
+    words = spark.createDataFrame([("The",), ("a",)], "word string")
+    kept = bags.without_stopwords(bags.count_terms(docs, "id"), words)
+    assert bag(kept, "id") == {(1, "lamp"): 2}
