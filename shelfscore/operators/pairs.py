@@ -8,7 +8,9 @@ overlap enough must meet in the first few elements of a common order."""
 
 from __future__ import annotations
 
-from math import ceil
+from functools import reduce
+from math import ceil, log
+from operator import and_
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH, MinHashLSH
 from pyspark.sql import Column, DataFrame
@@ -110,28 +112,50 @@ def jaccard_distance(left: Column, right: Column) -> Column:
     return 1 - both / (F.size(left) + F.size(right) - both)
 
 
-def jaccard_candidates(sets: DataFrame, threshold: float) -> DataFrame:
+def jaccard_candidates(sets: DataFrame, threshold: float, bucketed: bool = False) -> DataFrame:
     """All pairs that can lie below a distance threshold < 1.
 
-    More than s = 1 - threshold of the union must be shared, hence more than
-    s * n elements of either side, and the first n - floor(s * n) elements of
-    both sides meet. Sizes and the positions of the meeting element rule out
-    further pairs."""
+    With s = 1 - threshold, a near pair shares more than s / (1 + s) of both
+    sizes together. So it shares more than s * n elements of the larger set and
+    more than 2s / (1 + s) * n of the smaller, and meets in what is left at the
+    front of either when that many are taken off. Sizes that differ by more
+    than the factor s never meet: the larger set looks for smaller ones in its
+    own size band and the next one down, each as wide as that factor. Sizes and
+    the places of the meeting element rule out further pairs.
+
+    With bucketed, only pairs that share a value of `hashes` are asked for, and
+    table and value are part of the meeting point."""
     if not 0 < threshold < 1:
         raise ValueError("an exact Jaccard join needs 0 < threshold < 1; distances never exceed 1")
     s = 1 - threshold
     slack = 1e-9
     size = F.size("elements")
-    prefix = size - F.floor(s * size - slack).cast("int")
+    # A little wider than the factor, so that rounding cannot skip a band.
+    band = F.floor(F.log(F.col("n")) / (1.0001 * -log(s)))
+
+    def front(shared: float) -> DataFrame:
+        kept = F.slice("elements", 1, size - F.floor(shared * size - slack).cast("int"))
+        rows = sets.where(size > 0)
+        bucket = [F.lit(0).alias("table"), F.lit(0.0).alias("hash")]
+        if bucketed:
+            rows = rows.select("set_id", "elements", F.posexplode("hashes").alias("table", "hash"))
+            bucket = ["table", "hash"]
+        short = rows.select("set_id", size.alias("n"), *bucket, F.posexplode(kept).alias("pos", "element"))
+        return short.withColumn("band", band)
+
+    smaller = front(2 * s / (1 + s)).alias("a")
+    larger = front(s).withColumn("band", F.explode(F.array("band", F.col("band") - 1))).alias("b")
     n_a, n_b = F.col("a.n"), F.col("b.n")
-    sizes_fit = (n_b >= s * n_a - slack) & (n_a >= s * n_b - slack)
+    ordered = (n_a < n_b) | ((n_a == n_b) & (F.col("a.set_id") < F.col("b.set_id")))
     # The first meeting element leaves at most the shorter tail to share. At a
     # later one the bound is too low, but then the first has let the pair pass.
-    tail = 1 + F.least(n_a - F.col("a.pos") - 1, n_b - F.col("b.pos") - 1)
-    reachable = tail >= s / (1 + s) * (n_a + n_b) - slack
-    short = sets.select("set_id", size.alias("n"), F.slice("elements", 1, prefix).alias("p"))
-    posted = short.select("set_id", "n", F.posexplode("p").alias("pos", "element"))
-    return _pair_ids(as_pairs(posted, posted, ["element"], sizes_fit & reachable))
+    reach = F.least(n_a - F.col("a.pos"), n_b - F.col("b.pos"))
+    likely = (n_a >= s * n_b - slack) & (reach >= s / (1 + s) * (n_a + n_b) - slack)
+    keys = ["element", "band", *(["table", "hash"] if bucketed else [])]
+    same = reduce(and_, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
+    met = smaller.join(larger, same & ordered & likely)
+    low, high = F.least("a.set_id", "b.set_id"), F.greatest("a.set_id", "b.set_id")
+    return spread_pairs(met.select(low.alias("a"), high.alias("b"))).distinct()
 
 
 def jaccard_pairs_exact(bag: DataFrame, threshold: float) -> DataFrame:
@@ -164,8 +188,9 @@ def euclidean_candidates(sets: DataFrame, threshold: float) -> DataFrame:
     The squared distance is then at most m = ceil(threshold^2) - 1, and so is
     the number of elements that only one side has. All elements ahead of the
     first that both have are such elements, so its places (0, 1, ...) in the two
-    lists sum to m at most. Each place is joined with the places it may meet;
-    a common word at the end of many short texts meets nothing in vain. Two
+    lists sum to m at most. Each place is joined with the places it may meet, in
+    sets of the sizes it may meet: a common word at the end of many short texts
+    meets nothing in vain, nor does it in texts of other lengths. Two
     sets without a common element have m elements together at most, and those
     are joined by size."""
     m = ceil(threshold * threshold) - 1
@@ -173,8 +198,9 @@ def euclidean_candidates(sets: DataFrame, threshold: float) -> DataFrame:
     short = sets.select("set_id", size.alias("n"), F.slice("elements", 1, m + 1).alias("p"))
     posted = short.select("set_id", "n", F.posexplode("p").alias("pos", "element"))
     facing = posted.withColumn("other", F.explode(F.sequence(F.lit(0), m - F.col("pos"))))
-    turned = facing.select("set_id", "n", F.col("other").alias("pos"), "element", F.col("pos").alias("other"))
-    met = as_pairs(facing, turned, ["element", "pos", "other"], F.abs(F.col("a.n") - F.col("b.n")) <= m)
+    sizes = F.explode(F.sequence(F.col("n") - m, F.col("n") + m)).alias("n")
+    turned = facing.select("set_id", sizes, F.col("other").alias("pos"), "element", F.col("pos").alias("other"))
+    met = as_pairs(facing, turned, ["element", "pos", "other", "n"], F.lit(True))
     tiny = sets.where(size <= m).select("set_id", size.alias("n"))
     salted = tiny.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS)))
     repeated = tiny.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -243,20 +269,18 @@ def minhash_sets(counts: DataFrame, tables: int = HASH_TABLES, seed: int = SEED)
 def jaccard_lsh_join(sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs that share a MinHash bucket in any table and lie below threshold.
 
-    Below 1 the candidates come from the exact filter and those sharing a
-    bucket are kept: the same pairs as from opening the buckets, without the
-    pairs of a crowded bucket that are too far apart.
+    Below 1 the rows of a bucket meet by their rarest elements as well. That
+    gives the same pairs as opening the buckets, without the pairs of a crowded
+    bucket that are too far apart.
 
     No distance exceeds 1, so a threshold above it excludes nothing and asks
     for every pair of every bucket. That result itself grows with the square
     of a bucket; choose a threshold below 1 on large tables. Each pair is then
     taken in its first common table, so none is shuffled for duplicates."""
     if threshold < 1:
-        ordered = _rarest_first(sets)
-        pairs = with_payload(jaccard_candidates(ordered, threshold), sets, "buckets")
-        hashes = sets.select("set_id", "hashes")
-        pairs = pairs.join(hashes.toDF("a", "hashes_a"), "a").join(hashes.toDF("b", "hashes_b"), "b")
-        pairs = pairs.where(collide(F.col("hashes_a"), F.col("hashes_b"))).drop("hashes_a", "hashes_b")
+        ordered = _rarest_first(sets).join(sets.select("set_id", "hashes"), "set_id")
+        ordered = written(ordered, "rarest-first")
+        pairs = with_payload(jaccard_candidates(ordered, threshold, bucketed=True), sets, "buckets")
     else:
         opened = sets.select("set_id", "hashes", F.posexplode("hashes").alias("table", "hash"))
         earlier = collide(
@@ -312,12 +336,11 @@ def euclidean_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFra
 def labelled_distances(pairs: DataFrame, members: DataFrame, rows: DataFrame, *labels: str) -> DataFrame:
     """(labels of the first row, distance, pairs): what a model sees of the row
     pairs, in both orders, counted instead of listed."""
-    flipped = pairs.where(F.col("a") != F.col("b")).select(
-        F.col("b").alias("a"), F.col("a").alias("b"), F.col("copies_b").alias("copies_a"),
-        F.col("copies_a").alias("copies_b"), "distance",
-    )
-    partners = pairs.unionByName(flipped).groupBy(F.col("a").alias("set_id"), "distance")
-    partners = partners.agg(F.sum("copies_b").alias("partners"))
+    there = F.struct(F.col("a").alias("set_id"), F.col("copies_b").alias("partners"))
+    back = F.struct(F.col("b").alias("set_id"), F.col("copies_a").alias("partners"))
+    sides = F.when(F.col("a") == F.col("b"), F.array(there)).otherwise(F.array(there, back))
+    oriented = pairs.select("distance", F.explode(sides).alias("o")).select("distance", "o.*")
+    partners = oriented.groupBy("set_id", "distance").agg(F.sum("partners").alias("partners"))
     owners = members.join(rows.select("id", *labels), "id").groupBy("set_id", *labels).agg(F.count("*").alias("owners"))
     counted = partners.join(owners, "set_id").groupBy(*labels, "distance")
     return counted.agg(F.sum(F.col("partners") * F.col("owners")).alias("pairs"))
