@@ -17,8 +17,10 @@ from shelfscore.llm.storage import content_words, number_array, written
 
 BUCKETS = 1 << 15
 TRUSTED_ROWS = 50_000
-THRESHOLD = -0.05
-SMOOTHING = 1.0
+THRESHOLD = -0.1
+# N-grams per bucket, on average, of the corpus that the trusted counts are
+# mixed with, so that a small sample does not condemn what it happens to lack.
+PRIOR = 10.0
 WINDOW = 5
 # Marks that count as symbols, and white space.
 SYMBOLS = "#*$%&|<>"
@@ -96,10 +98,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
     counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted"))
     # One row per bucket at any size of the input.
     found = {r["bucket"]: (r["corpus"], r["trusted"]) for r in counts.collect()}
-    spread = SMOOTHING * buckets
-    n, m = (sum(c[k] for c in found.values()) + spread for k in (0, 1))
-    pairs = (found.get(b, (0, 0)) for b in range(buckets))
-    return [round(1e6 * math.log((t + SMOOTHING) / m * n / (c + SMOOTHING))) for c, t in pairs]
+    corpus, good = (max(1, sum(c[k] for c in found.values())) for k in (0, 1))
+    prior = PRIOR * buckets
+    # By bucket: its share of the corpus, and of the trusted n-grams with prior.
+    shares = ((c / corpus, t) for c, t in (found.get(b, (0, 0)) for b in range(buckets)))
+    return [round(1e6 * math.log((t / p + prior) / (good + prior))) if p else 0 for p, t in shares]
 
 
 def trusted_sample(labels: DataFrame, id_col: str, quality_col: str, rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -114,8 +117,7 @@ def judged(
     """One row per document: id, the base counts, score, base_failed, kept.
 
     Defined cases: a null or blank text has no words, a score of 0 and fails the
-    base rules. Without trusted documents every score lies near 0 by smoothing
-    alone. Repeated rows get equal verdicts. Null labels and labels of a null id
+    base rules. Without trusted documents every score is about 0. Repeated rows get equal verdicts. Null labels and labels of a null id
     are not read. An empty table gives an empty result. Other columns of the
     input are not read."""
     ratios = log_ratios(docs, trusted_sample(labels, id_col, quality_col), id_col, text_col)
