@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """docs without those whose verdict is to go."""
     gone = written(verdicts.where(~F.col("kept")).select(F.col("id").alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,7 +136,7 @@ def draw(
         F.when(F.col("left") < F.col("block_tokens"), F.col("left")).alias("left"),
     )
     drawn = written(drawn, "draws")
-    out = placed.join(drawn, placed["mix_source"].eqNullSafe(drawn["s"]) & (placed["mix_block"] == drawn["k"])).drop("s", "k")
+    out = placed.join(drawn.hint("merge"), placed["mix_source"].eqNullSafe(drawn["s"]) & (placed["mix_block"] == drawn["k"])).drop("s", "k")
     whole = out.where(F.col("left").isNull())
     # The one block of each source at which its quota ends.
     inner = W.partitionBy("mix_source", "mix_block").orderBy(F.xxhash64(F.lit(seed), "mix_epoch", "mix_key"), "mix_key")

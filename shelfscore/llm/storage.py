@@ -16,6 +16,10 @@ BATCH_BYTES = 16 * 1024 * 1024
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+# Joins that move whole texts carry the hint "merge", so that they take the
+# same way at every size of the other side.
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the batches of long texts in Python workers, unless the session
     has a bound of its own that is tighter."""

@@ -131,7 +131,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     shared = written(shared.where(F.col("low") < F.col("high")).select("seed"), "shared")
     held = own.join(shared, "seed", "left_semi").groupBy("id").agg(F.collect_list("place").alias("places"))
     part = F.xxhash64("text").alias("part")
-    seeded = written(source.select("id", "text", part).join(written(held, "places"), "id"), "seeded")
+    seeded = written(source.select("id", "text", part).join(written(held, "places").hint("merge"), "id"), "seeded")
     windows = written(_windows(seeded, kind, window, seed), "windows")
     first = windows.groupBy("hash").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     first = written(first.where(F.col("low") < F.col("high")).select("hash", "low"), "first")
@@ -172,7 +172,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     schema = f"id {kind}, sha256 string, cut bigint, kept string, repeats array<struct<first:bigint,end:bigint>>"
-    parts = seeded.drop("places").join(starts, ["id", "part"]).mapInArrow(cut, schema).distinct()
+    parts = seeded.drop("places").join(starts.hint("merge"), ["id", "part"]).mapInArrow(cut, schema).distinct()
     whole = copies.withColumn("copy", F.lit(True))
     rows = survey.select("id", "n_words", "sha256").join(written(whole, "copies"), ["id", "sha256"], "left")
     rows = rows.join(written(parts, "parts"), ["id", "sha256"], "left")

@@ -110,7 +110,7 @@ def write_archives(
     equal = rows.select("page_id", key.alias("key"), F.octet_length("payload").alias("bytes"))
     equal = equal.where(F.col("bytes") >= min_revisit_bytes).groupBy("key").agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
     equal = written(equal.where("n > 1").select("key", F.col("response").cast("string").alias("response")), "equal")
-    rows = rows.drop("page_id").withColumn("key", key).join(equal, "key", "left")
+    rows = rows.drop("page_id").withColumn("key", key).join(equal.hint("merge"), "key", "left")
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
