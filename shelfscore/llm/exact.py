@@ -187,7 +187,7 @@ def byte_check(
     text = spaced(F.col(text_col))
     rows = docs.select(digest(text).alias("digest"), text.alias("text"), F.xxhash64(id_col).alias("part"))
     shared = written(groups.where(F.col("size") > 1).select("digest"), "repeated")
-    rows = rows.join(shared, "digest", "left_semi")
+    rows = rows.join(shared.hint("merge"), "digest", "left_semi")
     spread = rows.repartition("digest", F.pmod("part", F.lit(64)))
     ends = spread.groupBy("digest", F.pmod("part", F.lit(64)).alias("part")).agg(
         F.min("text").alias("low"), F.max("text").alias("high")
