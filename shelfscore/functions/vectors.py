@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-_WRAPPED = StructType([StructField("v", VectorUDT())])
-
+from shelfscore.sources.scratch import scratch_dir
 
 def vector_entries(vector: Column) -> Column:
     """array<struct<indices, values>> of a sparse vector column."""
@@ -20,13 +19,20 @@ def vector_indices(vector: Column) -> Column:
     return F.unwrap_udt(vector)["indices"]
 
 
-def sparse_vector(size: int, indices: Column, values: Column) -> Column:
-    """Sparse vector from sorted indices and their values."""
-    plain = F.struct(
+def sparse_struct(size: int, indices: Column, values: Column) -> Column:
+    """The stored form of a sparse vector, from sorted indices and values."""
+    return F.struct(
         F.lit(0).cast("byte").alias("type"),
         F.lit(size).alias("size"),
         indices.alias("indices"),
         values.alias("values"),
     )
-    # A struct has no cast to the vector type, but the JSON reader knows it.
-    return F.from_json(F.to_json(F.struct(plain.alias("v"))), _WRAPPED)["v"]
+
+
+def as_vectors(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Turn a column of stored forms into a vector column. A struct has no cast
+    to the vector type; written and read with that type it is one."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    fields = [StructField(f.name, VectorUDT() if f.name == column else f.dataType) for f in df.schema]
+    return df.sparkSession.read.schema(StructType(fields)).parquet(path)

@@ -14,16 +14,35 @@ from pyspark.sql import functions as F
 
 from shelfscore.functions.arrays import explode_rows
 from shelfscore.functions.text import is_stopword, prose_tokens, regex_tokenize, title_tokens
-from shelfscore.sources.scratch import lookup
+from shelfscore.sources.scratch import lookup, written
+
+# Stop words are constants, which become part of expressions, or a table with a
+# column `word` of any length, which is taken off by an anti join.
+Words = Iterable[str] | DataFrame
+
+
+def _constants(words: Words) -> Iterable[str]:
+    return [] if isinstance(words, DataFrame) else words
 
 
 def description_tokens(descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
     return descriptions.select("product_uid", prose_tokens(F.col("description"), words).alias("tokens"))
 
 
-def training_tokens(train: DataFrame, words: Iterable[str]) -> DataFrame:
+def training_tokens(train: DataFrame, words: Words) -> DataFrame:
     text = F.concat_ws(" ", "title", "search_term")
-    return train.select("id", "product_uid", title_tokens(text, words).alias("tokens"), "relevance")
+    rows = train.select("id", "product_uid", title_tokens(text, _constants(words)).alias("tokens"), "relevance")
+    return _strike(rows, words) if isinstance(words, DataFrame) else rows
+
+
+def _strike(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Drop listed words from the token lists of rows with an id; the others
+    keep their order. A row's list comes from one text and is bounded by it."""
+    rows = written(rows, "rows")
+    flat = rows.select("id", F.posexplode("tokens").alias("place", "term"))
+    kept = without_stopwords(flat, words).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", "term"))).alias("t"))
+    tokens = F.coalesce("t.term", F.array().cast("array<string>"))
+    return rows.join(kept, "id", "left").withColumn("tokens", tokens).select(*rows.columns)
 
 
 def search_tokens(train: DataFrame) -> DataFrame:
@@ -65,29 +84,43 @@ def attribute_texts(attributes: DataFrame, words: Iterable[str]) -> DataFrame:
     return known.select("product_uid", prose_tokens(F.concat_ws(" ", "name", "value"), words).alias("tokens"))
 
 
-def attribute_tokens(attributes: DataFrame, words: Iterable[str]) -> DataFrame:
+def _unlisted(bag: DataFrame, words: Words) -> DataFrame:
+    return without_stopwords(bag, words) if isinstance(words, DataFrame) else bag
+
+
+def attribute_tokens(attributes: DataFrame, words: Words) -> DataFrame:
     """All attribute rows of a product folded into one bag."""
-    return count_terms(attribute_texts(attributes, words), "product_uid")
+    return _unlisted(count_terms(attribute_texts(attributes, _constants(words)), "product_uid"), words)
 
 
-def test_search_bundle(test: DataFrame, words: Iterable[str]) -> DataFrame:
+def test_search_bundle(test: DataFrame, words: Words) -> DataFrame:
     """The search terms of a product folded into one bag."""
-    return count_terms(test, "product_uid", tokens=prose_tokens(F.col("search_term"), words))
+    bag = count_terms(test, "product_uid", tokens=prose_tokens(F.col("search_term"), _constants(words)))
+    return _unlisted(bag, words)
 
 
-def unite_texts(left: DataFrame, shared: DataFrame, words: Iterable[str] | None = None) -> DataFrame:
+def unite_texts(left: DataFrame, shared: DataFrame, words: Words | None = None) -> DataFrame:
     """Left outer join of training rows with the bag of their product.
 
-    left is (id, product_uid, tokens, relevance), shared (product_uid, term,
-    tf). The result is (id, product_uid, relevance, term, tf). A row whose
-    product has no shared text stays, with a null term counted 0 times."""
+    left is (id, product_uid, tokens, relevance) with one row per id, shared
+    (product_uid, term, tf). The result is (id, product_uid, relevance, term,
+    tf). A row whose product has no shared text stays, with a null term counted
+    0 times. Listed words are taken off the shared bag.
+
+    A hot product spreads: the rows are written, so that both sides of the join
+    come straight from a shuffle, and the sum is by id and term, for which the
+    joined rows are dealt out anew."""
     row = ["id", "product_uid", "relevance"]
     if words is not None:
-        shared = shared.where(~is_stopword(F.col("term"), words))
+        listed = F.lit(False) if isinstance(words, DataFrame) else is_stopword(F.col("term"), words)
+        shared = _unlisted(shared.where(~listed), words)
+    left = written(left.select(*row, "tokens"), "rows")
     inherited = left.select(*row).join(shared, "product_uid", "left")
     inherited = inherited.select(*row, "term", F.coalesce("tf", F.lit(0)).cast("long").alias("tf"))
     own = explode_rows(left, "tokens", "term", *row).withColumn("tf", F.lit(1).cast("long"))
-    return add_bags(own, inherited)
+    both = own.unionByName(inherited).groupBy("id", "term")
+    sums = both.agg(*[F.first(c).alias(c) for c in row[1:]], F.sum("tf").alias("tf"))
+    return sums.select(*row, "term", "tf")
 
 
 def products_of(rows: DataFrame) -> DataFrame:
@@ -106,12 +139,13 @@ def product_texts(rows: DataFrame, attributes: DataFrame, descriptions: DataFram
     return values.unionByName(description_tokens(only_products(descriptions, products), words))
 
 
-def shared_bag(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
+def shared_bag(rows: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Words) -> DataFrame:
     """Attribute and description terms per product, counted in one pass."""
-    return count_terms(product_texts(rows, attributes, descriptions, words), "product_uid")
+    texts = product_texts(rows, attributes, descriptions, _constants(words))
+    return _unlisted(count_terms(texts, "product_uid"), words)
 
 
-def product_bundle(train: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Iterable[str]) -> DataFrame:
+def product_bundle(train: DataFrame, attributes: DataFrame, descriptions: DataFrame, words: Words) -> DataFrame:
     """Training text with its product's attributes and description. The two
     product bags are summed first, so the rows are joined only once."""
     shared = shared_bag(train, attributes, descriptions, words)

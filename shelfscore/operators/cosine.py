@@ -34,7 +34,7 @@ def _term_counts(training: DataFrame, search: DataFrame, shared: DataFrame) -> D
 def _term_idf(counts: DataFrame, shared: DataFrame, training: DataFrame) -> DataFrame:
     """(term, product_idf, search_idf). A product's term counts once for each of
     the product's rows, a row's own term where the product lacks it."""
-    sizes = training.groupBy("product_uid").agg(F.count("*").alias("rows"))
+    sizes = lookup(training.groupBy("product_uid").agg(F.count("*").alias("rows")), "product-rows")
     zero = F.lit(0).cast("long")
     from_products = shared.join(sizes, "product_uid").select("term", F.col("rows").alias("p"), zero.alias("s"))
     from_rows = counts.select(
@@ -71,7 +71,7 @@ def query_product_cosine(training: DataFrame, search: DataFrame, shared: DataFra
     base = F.col("inherited") * F.col("product_idf")
     asked = F.col("asked") * F.col("search_idf")
     base_norms = shared.join(idf, "term").groupBy("product_uid")
-    base_norms = base_norms.agg(F.sum((F.col("tf") * F.col("product_idf")) ** 2).alias("base_norm"))
+    base_norms = lookup(base_norms.agg(F.sum((F.col("tf") * F.col("product_idf")) ** 2).alias("base_norm")), "base-norms")
     rows = training.select("id", "product_uid", "relevance")
     norm = F.sqrt(F.coalesce("base_norm", F.lit(0.0)) + F.coalesce("added_norm", F.lit(0.0)))
     added_norm = F.sum(whole * whole - base * base).alias("added_norm")
@@ -88,12 +88,13 @@ def query_product_cosine(training: DataFrame, search: DataFrame, shared: DataFra
     centre = lookup(units.groupBy("product_uid", "term").agg(F.sum("unit").alias("unit")), "search-centres")
     by_term = ["product_uid", "term"]
     base_dots = shared.join(centre, by_term).join(idf, "term").groupBy("product_uid")
-    base_dots = base_dots.agg(F.sum(F.col("tf") * F.col("product_idf") * F.col("unit")).alias("base_dot"))
+    base_dots = lookup(base_dots.agg(F.sum(F.col("tf") * F.col("product_idf") * F.col("unit")).alias("base_dot")), "base-dots")
     added_dot = F.sum((whole - base) * F.coalesce("unit", F.lit(0.0))).alias("added_dot")
     sums = weighed.join(centre, by_term, "left").groupBy("id").agg(added_norm, added_dot)
-    partners = search.groupBy("product_uid").agg(F.count("*").alias("partners"))
-    joined = rows.join(partners, "product_uid").join(sums, "id", "left")
-    joined = joined.join(base_norms, "product_uid", "left").join(base_dots, "product_uid", "left")
+    # What a product adds is one row per product and joined once.
+    products = search.groupBy("product_uid").agg(F.count("*").alias("partners"))
+    products = products.join(base_norms, "product_uid", "left").join(base_dots, "product_uid", "left")
+    joined = rows.join(sums, "id", "left").join(lookup(products, "product-sums"), "product_uid")
     dot = F.coalesce("base_dot", F.lit(0.0)) + F.coalesce("added_dot", F.lit(0.0))
     mean = F.when(norm > 0, dot / norm / F.col("partners")).otherwise(F.lit(0.0)).alias("mean_cosine")
     return joined.select("id", "product_uid", "relevance", "partners", mean)
@@ -118,25 +119,38 @@ def _unit_columns(entries: DataFrame) -> DataFrame:
     return present.withColumn("unit", F.col("value") / F.col("norm"))
 
 
+# Positions of a row that are opened as one row of the plan.
+_BLOCK = 64
+
+
 def _row_products(entries: DataFrame, share: Column) -> DataFrame:
     """Sum over rows of unit_i * unit_j / (share_i * share_j) for columns i < j.
 
     entries is (id, index, columns, unit, share). A row has at most as many
-    entries as there are columns, so its list is bounded, and every row opens
-    its pairs where it lies; they combine before they are shuffled."""
+    entries as there are columns, so its list is bounded. It is cut into blocks
+    of positions; each pair of blocks is a row of its own and dealt out anew, so
+    a long row spreads over the tasks. Products combine before they are
+    shuffled."""
     entry = F.struct("index", "columns", (F.col("unit") / share).alias("unit"))
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = entries.repartition(tasks, "id").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    first = lists.select("e", F.posexplode("e").alias("pos", "i"))
-    later = F.slice("e", F.col("pos") + 2, F.size("e"))
-    both = first.select("i", F.explode_outer(later).alias("j")).where(F.col("j").isNotNull())
-    pairs = both.groupBy(
+    lists = entries.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    last = F.floor((F.size("e") - 1) / _BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("e", k * _BLOCK + 1, F.lit(_BLOCK)))
+    blocks = lists.select("id", cut.alias("b"))
+    first = blocks.select("id", "b", F.posexplode("b").alias("p", "left"))
+    both = first.select("id", "left", F.posexplode(F.slice("b", F.col("p") + 1, F.size("b"))).alias("q", "right"))
+    both = both.repartition(tasks, "id", F.xxhash64("left", "q"))
+    ones = both.select("left", "right", "q", F.posexplode("left").alias("at", "i"))
+    # Inside one block only later positions follow; other blocks come later whole.
+    later = F.when(F.col("q") == 0, F.slice("right", F.col("at") + 2, F.size("right"))).otherwise(F.col("right"))
+    pairs = ones.select("i", F.explode_outer(later).alias("j")).where(F.col("j").isNotNull())
+    sums = pairs.groupBy(
         F.col("i.index").alias("i"),
         F.col("i.columns").alias("columns_i"),
         F.col("j.index").alias("j"),
         F.col("j.columns").alias("columns_j"),
     )
-    return pairs.agg(F.sum(F.col("i.unit") * F.col("j.unit")).alias("sim"))
+    return sums.agg(F.sum(F.col("i.unit") * F.col("j.unit")).alias("sim"))
 
 
 def _merge_single_row_columns(columns: DataFrame) -> DataFrame:
@@ -160,14 +174,16 @@ def _within(merged: DataFrame) -> DataFrame:
     )
 
 
-def column_cosine_exact(entries: DataFrame) -> DataFrame:
-    """(i, columns_i, j, columns_j, sim) for all columns that share a row, from
-    a matrix in long form (id, index, value)."""
+def column_cosine_exact(entries: DataFrame, least: float = 0.0) -> DataFrame:
+    """(i, columns_i, j, columns_j, sim) for all columns that share a row and
+    are at least so similar, from a matrix in long form (id, index, value)."""
     merged = written(_merge_single_row_columns(_unit_columns(entries)), "unit-columns")
-    return _row_products(merged, F.lit(1.0)).unionByName(_within(merged))
+    return _row_products(merged, F.lit(1.0)).unionByName(_within(merged)).where(F.round("sim", 9) >= least)
 
 
-def column_cosine_dimsum(entries: DataFrame, n_columns: int, threshold: float = SAMPLING_THRESHOLD) -> DataFrame:
+def column_cosine_dimsum(
+    entries: DataFrame, n_columns: int, threshold: float = SAMPLING_THRESHOLD, least: float = 0.0
+) -> DataFrame:
     """The same by the published DIMSUM sampling (Zadeh and Carlsson): an entry
     of column c is kept with probability min(1, sqrt(gamma) / |c|), gamma = 10
     ln(columns) / threshold, and kept products are scaled up. Heavy columns are
@@ -178,4 +194,4 @@ def column_cosine_dimsum(entries: DataFrame, n_columns: int, threshold: float =
     merged = written(_merge_single_row_columns(_unit_columns(entries)), "unit-columns")
     share = F.least(F.lit(1.0), F.lit(root) / F.col("norm"))
     drawn = merged.where(unit_hash(F.col("id"), F.col("index")) < share)
-    return _row_products(drawn, share).unionByName(_within(merged))
+    return _row_products(drawn, share).unionByName(_within(merged)).where(F.round("sim", 9) >= least)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfscore.functions.arrays import explode_rows
-from shelfscore.functions.vectors import sparse_vector, vector_entries
-from shelfscore.sources.scratch import lookup
+from shelfscore.functions.vectors import as_vectors, sparse_struct, vector_entries
+from shelfscore.sources.scratch import lookup, written
 
 # Fixed value: number of hash buckets of every hashed feature vector.
 BUCKETS = 20_000
@@ -86,13 +86,16 @@ def fold(entries: DataFrame, key: str, size: int, output: str = "features") -> D
     """Long form back to one sparse vector per key. A key has at most `size`
     entries, so the gathered group is bounded."""
     lists = entries.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "value"))).alias("e"))
-    return lists.select(key, sparse_vector(size, F.col("e.index"), F.col("e.value")).alias(output))
+    folded = lists.select(key, sparse_struct(size, F.col("e.index"), F.col("e.value")).alias(output))
+    return as_vectors(folded, output, "vectors")
 
 
 def hashed_bundle(rows: DataFrame, shared: DataFrame) -> DataFrame:
     """Bucket counts (id, index, value) of each row's own tokens and those of
     its product. rows is (id, product_uid, tokens), shared is the product's
-    (product_uid, index, value)."""
+    (product_uid, index, value). The rows are written, so that the join can
+    split a hot product, and summed by id and bucket after it."""
+    rows = written(rows.select("id", "product_uid", "tokens"), "rows")
     own = unfold(tf_hashed(rows.select("id", "tokens")), "tf_vector", "id")
     inherited = rows.select("id", "product_uid").join(shared, "product_uid").select("id", "index", "value")
     return own.unionByName(inherited).groupBy("id", "index").agg(F.sum("value").alias("value"))
@@ -100,9 +103,10 @@ def hashed_bundle(rows: DataFrame, shared: DataFrame) -> DataFrame:
 
 def attach_vector(rows: DataFrame, vectors: DataFrame, output: str, size: int = BUCKETS) -> DataFrame:
     """Left join of vectors by id; a row without entries gets the zero vector."""
-    empty = sparse_vector(size, F.array().cast("array<int>"), F.array().cast("array<double>"))
+    empty = sparse_struct(size, F.array().cast("array<int>"), F.array().cast("array<double>"))
     joined = rows.join(vectors, "id", "left")
-    return joined.withColumn(output, F.coalesce(F.col(output), empty))
+    stored = F.coalesce(F.unwrap_udt(output), empty)
+    return as_vectors(joined.withColumn(output, stored), output, "attached")
 
 
 def idf_weights(counts: DataFrame, n_rows: Column) -> DataFrame:

@@ -16,8 +16,6 @@ BINS = 32
 TREES = 5
 ITERATIONS = 100
 SEED = 1234
-# Up to this many features the normal equations solve exactly.
-NORMAL_SOLVER_LIMIT = 4096
 
 
 def decision_tree(depth: int = DEPTH, **columns: str) -> DecisionTreeRegressor:
@@ -30,9 +28,9 @@ def random_forest(trees: int = TREES, **columns: str) -> RandomForestRegressor:
     )
 
 
-def linear_regression(n_features: int, **columns: str) -> LinearRegression:
-    """Least squares without intercept or penalty."""
-    solver = "normal" if n_features <= NORMAL_SOLVER_LIMIT else "l-bfgs"
+def linear_regression(solver: str = "l-bfgs", **columns: str) -> LinearRegression:
+    """Least squares without intercept or penalty. "normal" solves the normal
+    equations exactly, for up to 4,096 features."""
     return LinearRegression(
         fitIntercept=False, regParam=0.0, maxIter=ITERATIONS, standardization=False, solver=solver, **columns
     )

@@ -50,14 +50,12 @@ def with_digest(rows: DataFrame, content: Column) -> DataFrame:
 def collapse(digested: DataFrame, *payload: str) -> DataFrame:
     """One row (set_id, copies, payload) per group of equal content.
 
-    The group is named after its lowest id and keeps that row's payload. All
-    three combine on the map side, so a large group of copies stays small."""
-    groups = digested.groupBy("digest").agg(
-        F.min("id").alias("set_id"),
-        F.count("*").alias("copies"),
-        F.min_by(F.struct(*payload), "id").alias("p"),
-    )
-    return groups.select("set_id", "copies", *[f"p.{c}" for c in payload])
+    The group is named after its lowest id and keeps that row's payload. Names
+    and numbers combine on the map side, and only the named rows, found by their
+    id, move their payload."""
+    groups = digested.groupBy("digest").agg(F.min("id").alias("set_id"), F.count("*").alias("copies"))
+    named = lookup(groups.select("set_id", "copies"), "groups")
+    return named.join(digested.select(F.col("id").alias("set_id"), *payload), "set_id")
 
 
 def members(digested: DataFrame) -> DataFrame:
@@ -310,7 +308,7 @@ def projection_sets(counts: DataFrame, rows: DataFrame, seed: int = SEED) -> tup
         inputCol="features", outputCol="lsh", bucketLength=BUCKET_LENGTH, numHashTables=HASH_TABLES, seed=seed
     )
     signed = _signatures(collapse(digested, "features", "entries"), lsh.fit(digested), "lsh")
-    return signed.drop("features"), members(digested)
+    return written(signed.drop("features"), "projection-sets"), members(digested)
 
 
 def euclidean_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -327,7 +325,7 @@ def euclidean_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFra
     hashes = ordered.select("set_id", "hashes")
     near = near.join(hashes.toDF("a", "hashes_a"), "a").join(hashes.toDF("b", "hashes_b"), "b")
     near = near.where(collide(F.col("hashes_a"), F.col("hashes_b"))).drop("hashes_a", "hashes_b")
-    return near.unionByName(self_pairs(sets))
+    return near.unionByName(self_pairs(ordered))
 
 
 # ---- pairs as training examples --------------------------------------------

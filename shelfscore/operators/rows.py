@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from shelfscore.functions.sampling import RANGE, key_hash, unit_hash
 from shelfscore.sources.scratch import written
 
-HASH_BINS = 4096
-
 
 def sort_by_key(df: DataFrame, *keys: Column) -> DataFrame:
     return df.orderBy(*keys)
@@ -31,18 +29,26 @@ def row_id(df: DataFrame, *keys: str, output: str = "row_id") -> DataFrame:
     return numbered.withColumn(output, F.col("_place") + F.col("_offset")).drop("_range", "_place", "_offset")
 
 
+def likely_rows(n: int) -> int:
+    """So many rows are ordered for the n lowest, nearly always."""
+    return n + 10 * int(n**0.5) + 100
+
+
 def limit_rows(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """The n rows with the lowest key hash: a sample that repeats.
 
-    Sorting everything is not needed. Counting rows per hash bin finds the bin
-    in which the n-th row lies, and only rows up to that bin are ordered."""
+    Sorting everything is not needed: the hash is even, so the rows count says
+    below which hash about n + margin rows lie. Only those are ordered; should
+    they be too few after all, the next larger share is taken."""
     hashed = df.withColumn("_hash", key_hash(*[F.col(k) for k in keys]))
-    bin_of = (F.col("_hash") / (RANGE // HASH_BINS)).cast("int")
-    sizes = hashed.groupBy(bin_of.alias("_bin")).agg(F.count("*").alias("_size"))
-    upto = sizes.select("_bin", F.sum("_size").over(Window.orderBy("_bin")).alias("_upto"))
-    last = upto.agg(F.min(F.when(F.col("_upto") >= n, F.col("_bin"))).alias("last")).scalar()
-    low = hashed.where(bin_of <= F.coalesce(last, F.lit(HASH_BINS)))
-    return low.orderBy("_hash", *keys).limit(n).drop("_hash")
+    total = df.count()
+    wanted = likely_rows(n)
+    while wanted < total:
+        low = hashed.where(F.col("_hash") < int(RANGE * wanted / total))
+        if low.count() >= n:
+            return low.orderBy("_hash", *keys).limit(n).drop("_hash")
+        wanted *= 4
+    return hashed.orderBy("_hash", *keys).limit(n).drop("_hash")
 
 
 def train_test_split(df: DataFrame, *keys: str, share: float = 0.7) -> DataFrame:

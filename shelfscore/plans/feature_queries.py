@@ -13,6 +13,8 @@ from shelfscore.plans.registry import registered
 from shelfscore.sources import tables
 from shelfscore.sources.scratch import written
 
+# High enough that the heavier columns are thinned on small tables as well.
+DIMSUM_THRESHOLD = 5.0
 BUNDLE_JACCARD = 0.5
 DOCUMENT_JACCARD = 0.3
 
@@ -147,18 +149,15 @@ def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.select("id", "term", F.round("unit", 6).alias("unit"))
 
 
-# Product text left, search right: 40,000 columns per row.
+# Bundle left (title, search, attributes, description), search right: 40,000
+# columns per row.
 _SIDES = [
-    S.TRAIN,
-    S.TRAINING,
+    *S.FULL_BUNDLE,
     S.SEARCH,
-    S.bucketed(
-        "select unnest(tokens) as term from training_tokens union select unnest(tokens) from search_tokens"
-    ),
+    S.bucketed("select term from bundle where term is not null union select unnest(tokens) from search_tokens"),
     """
 left_tf as (
-  select id, bucket as index, cast(count(*) as double) as value
-  from (select id, unnest(tokens) as term from training_tokens) join buckets using (term) group by all)""",
+  select id, bucket as index, cast(sum(tf) as double) as value from bundle join buckets using (term) group by all)""",
     """
 right_tf as (
   select id, bucket as index, cast(count(*) as double) as value
@@ -175,7 +174,7 @@ sides as (
 @registered("assemble", S.query(_SIDES, "select id, index, round(value, 6) as value from sides where value <> 0"))
 def assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The assembler keeps no zeros."""
-    left = features.tfidf_hashed(inputs.training(spark, sf_dir), output="left").select("id", "left")
+    left = bundle_features(spark, sf_dir).select("id", F.col("features").alias("left"))
     right = search_features(spark, sf_dir, output="right").select("id", "right")
     both = VectorAssembler(inputCols=["left", "right"], outputCol="features").transform(left.join(right, "id"))
     unfolded = features.unfold(both, "features", "id")
@@ -206,13 +205,14 @@ _WITHIN = "select index, columns, index, columns, 1.0 from merged where columns
 def unit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides' TF-IDF, each side of a row scaled to length 1, in long form."""
 
-    def side(tokens: DataFrame) -> DataFrame:
-        counts = features.unfold(features.tf_hashed(tokens), "tf_vector", "id")
+    def side(counts: DataFrame) -> DataFrame:
         weights = features.idf_weights(counts, features.row_count(tables.train(spark, sf_dir)))
         units = features.l2_normalize(weights.where(F.col("value") != 0), "id", "value")
         return units.select("id", "index", F.col("unit").alias("value"))
 
-    both = cosine.assemble(side(inputs.training(spark, sf_dir)), side(inputs.search(spark, sf_dir)), features.BUCKETS)
+    bundle = written(inputs.bundle_counts(spark, sf_dir), "bundle-counts")
+    asked = features.unfold(features.tf_hashed(inputs.search(spark, sf_dir)), "tf_vector", "id")
+    both = cosine.assemble(side(bundle), side(asked), features.BUCKETS)
     return written(both, "unit-rows")
 
 
@@ -228,16 +228,18 @@ def _rounded(sims: DataFrame) -> DataFrame:
 select i, columns_i, j, columns_j, round(sim, 6) as sim
 from (select a.index as i, a.columns as columns_i, b.index as j, b.columns as columns_j, sum(a.unit * b.unit) as sim
       from merged a join merged b on a.id = b.id and a.index < b.index group by all
-      union all {_WITHIN})""",
+      union all {_WITHIN}) where round(sim, 9) >= {cosine.SAMPLING_THRESHOLD}""",
     ),
 )
 def column_cosine_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(cosine.column_cosine_exact(unit_rows(spark, sf_dir)))
+    """Similar columns; a similarity below the sampling threshold is not listed."""
+    found = cosine.column_cosine_exact(unit_rows(spark, sf_dir), cosine.SAMPLING_THRESHOLD)
+    return _rounded(found)
 
 
-_DRAWN = """
+_DRAWN = f"""
 drawn as (
-  select * from (select *, least(1.0, sqrt(10 * ln(40000) / 0.1) / norm) as share from merged)
+  select * from (select *, least(1.0, sqrt(10 * ln(40000) / {DIMSUM_THRESHOLD}) / norm) as share from merged)
   where ('0x' || substr(md5(id || ':' || index), 1, 8))::bigint / 4294967296.0 < share)"""
 
 
@@ -250,11 +252,13 @@ select i, columns_i, j, columns_j, round(sim, 6) as sim
 from (select a.index as i, a.columns as columns_i, b.index as j, b.columns as columns_j,
         sum(a.unit / a.share * b.unit / b.share) as sim
       from drawn a join drawn b on a.id = b.id and a.index < b.index group by all
-      union all {_WITHIN})""",
+      union all {_WITHIN}) where round(sim, 9) >= {cosine.SAMPLING_THRESHOLD}""",
     ),
 )
 def column_cosine_dimsum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(cosine.column_cosine_dimsum(unit_rows(spark, sf_dir), 2 * features.BUCKETS))
+    rows = unit_rows(spark, sf_dir)
+    found = cosine.column_cosine_dimsum(rows, 2 * features.BUCKETS, DIMSUM_THRESHOLD, cosine.SAMPLING_THRESHOLD)
+    return _rounded(found)
 
 
 _COSINE_SIDES = [

@@ -6,8 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscore.operators import features, models, rows
-from shelfscore.plans import inputs
+from shelfscore.operators import models, rows
 from shelfscore.plans import sql as S
 from shelfscore.plans.feature_queries import COSINE, bundle_features, euclidean_examples, jaccard_examples, row_cosine
 from shelfscore.plans.registry import registered
@@ -25,11 +24,11 @@ def _split(df: DataFrame) -> DataFrame:
     return rows.train_test_split(df, "id")
 
 
-def _linear(training: DataFrame, n_features: int = 1):
-    return Pipeline(stages=[models.linear_regression(n_features)]).fit(training)
+def _linear(training: DataFrame):
+    return Pipeline(stages=[models.linear_regression("normal")]).fit(training)
 
 
-# ---- one number per row ----------------------------------------------------
+# ---- the row's cosine ----------------------------------------------------
 
 
 def cosine_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,29 +37,17 @@ def cosine_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(_split(models.scalar_features(found, "x")), "cosine-examples")
 
 
-def length_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, part, label, features): the number of tokens of title and search."""
-    sized = inputs.training(spark, sf_dir).select(
-        "id", F.col("relevance").alias("label"), F.size("tokens").cast("double").alias("x")
-    )
-    return _split(models.scalar_features(sized, "x"))
-
-
 def _scores(scored: DataFrame) -> DataFrame:
     return scored.select("id", "label", F.round("prediction", 6).alias("prediction"))
 
 
-_LENGTHS = [
-    S.TRAIN,
-    S.TRAINING,
-    f"examples as (select id, relevance as label, cast(len(tokens) as double) as x, {_PART} as part from training_tokens)",
-]
+_EXAMPLES = [*COSINE, f"examples as (select id, relevance as label, cosine as x, {_PART} as part from cosines)"]
 
 
 @registered(
     "linear_regression",
     S.query(
-        [*COSINE, f"examples as (select id, relevance as label, cosine as x, {_PART} as part from cosines)"],
+        _EXAMPLES,
         f"select id, label, round(x * {_SLOPE}, 6) as prediction from examples where part = 'test'",
     ),
 )
@@ -73,24 +60,24 @@ def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     "predict",
-    S.query(_LENGTHS, f"select id, label, part, round(x * {_SLOPE}, 6) as prediction from examples"),
+    S.query(_EXAMPLES, f"select id, label, part, round(x * {_SLOPE}, 6) as prediction from examples"),
 )
 def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores for the seen and the unseen part."""
-    data = length_examples(spark, sf_dir)
+    data = cosine_examples(spark, sf_dir)
     scored = models.predict(_linear(data.where(F.col("part") == "train")), data)
     return scored.select("id", "label", "part", F.round("prediction", 6).alias("prediction"))
 
 
 @registered(
     "model_roundtrip",
-    S.query(_LENGTHS, f"select id, label, round(x * {_SLOPE}, 6) as prediction from examples where part = 'test'"),
+    S.query(_EXAMPLES, f"select id, label, round(x * {_SLOPE}, 6) as prediction from examples where part = 'test'"),
 )
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train and save, then load what was saved; the second call trains nothing."""
-    data = length_examples(spark, sf_dir)
+    data = cosine_examples(spark, sf_dir)
     path = scratch_dir(spark, "model")
-    estimator = Pipeline(stages=[models.linear_regression(1)])
+    estimator = Pipeline(stages=[models.linear_regression("normal")])
     files.fit_or_load(estimator, data.where(F.col("part") == "train"), path)
     stored = files.fit_or_load(estimator, data.where(F.lit(False)), path)
     return _scores(models.predict(stored, data.where(F.col("part") == "test")))
@@ -158,14 +145,14 @@ def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("random_forest", models.random_forest(**columns)),
         ]
 
-    def line(n_features: int, weight: str | None) -> tuple[str, object]:
+    def line(solver: str, weight: str | None) -> tuple[str, object]:
         columns = {"weightCol": weight} if weight else {}
-        return ("linear_regression", models.linear_regression(n_features, **columns))
+        return ("linear_regression", models.linear_regression(solver, **columns))
 
     grid = models.model_grid(
         [
-            ("tfidf", vector_examples(spark, sf_dir), None, [*trees(None), line(features.BUCKETS, None)]),
-            ("jaccard", jaccard, "weight", [*trees("weight"), line(1, "weight")]),
+            ("tfidf", vector_examples(spark, sf_dir), None, [*trees(None), line("l-bfgs", None)]),
+            ("jaccard", jaccard, "weight", [*trees("weight"), line("normal", "weight")]),
             ("cosine", cosine_examples(spark, sf_dir), None, trees(None)),
             ("euclidean", euclidean, "weight", trees("weight")),
         ]

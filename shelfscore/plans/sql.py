@@ -8,7 +8,7 @@ STOPWORDS = ["a", "an", "and", "as", "at", "by", "der", "die", "en", "for", "fro
 
 TRAIN = """
 train as (
-  select c.conv_id * 1000 + c.turn as id, c.conv_id as product_uid, p.p_name as title, c.text as search_term,
+  select c.conv_id || '-' || c.turn as id, c.conv_id as product_uid, p.p_name as title, c.text as search_term,
     round(cast(1 + coalesce(l.quality, 0) as double) + cast(0.33 as double) * (c.turn % 3), 2) as relevance
   from conversations c join part p on p.p_partkey = c.conv_id
   left join labels l on l.doc_id = c.conv_id

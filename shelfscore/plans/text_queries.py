@@ -9,6 +9,7 @@ from shelfscore.functions import text
 from shelfscore.operators import bags, features, models, rows
 from shelfscore.plans import inputs
 from shelfscore.plans import sql as S
+from shelfscore.plans.feature_queries import HASHED_BUNDLE, N_BUNDLE, bundle_features, idf
 from shelfscore.plans.registry import registered
 from shelfscore.sources import files, tables
 from shelfscore.sources.scratch import lookup, scratch_dir, written
@@ -48,52 +49,36 @@ def stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.load_stopwords(spark, path)
 
 
-_TF_VECTORS = [
-    S.TRAIN,
-    S.TRAINING,
-    S.bucketed("select distinct unnest(tokens) as term from training_tokens"),
-    """
-hashed as (
-  select t.id, t.relevance, b.bucket, count(*) as tf
-  from (select id, relevance, unnest(tokens) as term from training_tokens) t join buckets b using (term) group by all)""",
-]
+def _stored_vectors(place: str, kept: str = "true") -> str:
+    """Twin of the bundle's TF-IDF vectors as a file holds them, without ids."""
+    return S.query(
+        [*HASHED_BUNDLE, f"weighted as ({idf('hashed', 'index', N_BUNDLE)})"],
+        f"""
+select t.relevance as label, {place} as index, round(w.weight, 6) as value, count(*) as entries
+from training_tokens t join weighted w using (id) where {kept} group by all""",
+    )
 
 
-def _training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hashed = features.tf_hashed(inputs.training(spark, sf_dir), output="features")
-    return hashed.select("id", F.col("relevance").alias("label"), "features")
+def _entries(df: DataFrame) -> DataFrame:
+    rounded = df.select("label", "index", F.round("value", 6).alias("value"))
+    return rounded.groupBy("label", "index", "value").agg(F.count("*").alias("entries"))
 
 
-@registered(
-    "write_libsvm",
-    S.query(
-        _TF_VECTORS,
-        """
-select cast(t.relevance as varchar) || coalesce(h.entries, '') as line
-from training_tokens t left join (
-  select id, string_agg(' ' || (bucket + 1) || ':' || tf || '.0', '' order by bucket) as entries
-  from hashed group by id) h using (id)""",
-    ),
-)
+@registered("write_libsvm", _stored_vectors("w.index + 1"))
 def write_libsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written lines themselves."""
-    path = files.write_libsvm(_training_vectors(spark, sf_dir), scratch_dir(spark, "libsvm"))
-    return spark.read.text(path).select(F.trim("value").alias("line"))
+    """The written lines, taken apart as text: places count from 1."""
+    path = files.write_libsvm(bundle_features(spark, sf_dir), scratch_dir(spark, "libsvm"))
+    parts = spark.read.text(path).select(F.split(F.trim("value"), " ").alias("p"))
+    flat = parts.select(F.get("p", F.lit(0)).cast("double").alias("label"), F.explode(F.slice("p", F.lit(2), F.size("p"))).alias("e"))
+    place, value = (F.get(F.split("e", ":"), F.lit(k)) for k in (0, 1))
+    return _entries(flat.select("label", place.cast("int").alias("index"), value.cast("double").alias("value")))
 
 
-@registered(
-    "read_libsvm",
-    S.query(
-        _TF_VECTORS,
-        """
-select relevance as label, bucket as index, cast(tf as double) as value, count(*) as entries
-from hashed group by all""",
-    ),
-)
+@registered("read_libsvm", _stored_vectors("w.index", "w.weight <> 0"))
 def read_libsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = files.write_libsvm(_training_vectors(spark, sf_dir), scratch_dir(spark, "libsvm"))
-    back = features.unfold(files.read_libsvm(spark, path, features.BUCKETS), "features", "label")
-    return back.groupBy("label", "index", "value").agg(F.count("*").alias("entries"))
+    """The reader keeps no zeros."""
+    path = files.write_libsvm(bundle_features(spark, sf_dir), scratch_dir(spark, "libsvm"))
+    return _entries(features.unfold(files.read_libsvm(spark, path, features.BUCKETS), "features", "label"))
 
 
 @registered(
@@ -189,7 +174,7 @@ from (select lang, unnest({S.tokens("text")}) as term from documents) group by a
 )
 def flatten_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token lists of each language flattened into one bag."""
-    texts = tables.spread(tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    texts = tables.table(spark, sf_dir, "documents").select("lang", "text")
     return bags.count_terms(texts, "lang", tokens=text.regex_tokenize(F.col("text")))
 
 
@@ -332,7 +317,9 @@ def left_join_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     bag = bags.attribute_tokens(tables.attributes(spark, sf_dir), S.STOPWORDS)
     totals = bag.groupBy("product_uid").agg(F.count("*").alias("terms"), F.sum("tf").alias("tokens"))
     totals = lookup(totals, "attribute-totals")
-    return tables.train(spark, sf_dir).select("id", "product_uid").join(totals, "product_uid", "left")
+    # Written, so that this join too can split a hot product.
+    named = written(tables.train(spark, sf_dir).select("id", "product_uid"), "rows")
+    return named.join(totals, "product_uid", "left")
 
 
 @registered(

@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
-from pyspark.ml.base import Estimator
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The largest stop-word list that is shipped inside expressions.
-MAX_STOPWORDS = 20_000
-
 
 def scan_csv(
     spark: SparkSession, path: str, schema: StructType, strict: bool = True, line_breaks: bool = False
@@ -43,13 +39,6 @@ def load_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return words.where(F.col("word") != "").distinct()
 
 
-def stopword_list(words: DataFrame) -> list[str] | None:
-    """The list for use in expressions, or None when it is too long for that;
-    then remove the words with a left anti join on the term column."""
-    rows = words.select("word").limit(MAX_STOPWORDS + 1).collect()
-    return [r["word"] for r in rows] if len(rows) <= MAX_STOPWORDS else None
-
-
 def write_libsvm(df: DataFrame, path: str) -> str:
     df.select("label", "features").write.format("libsvm").save(path)
     return path
@@ -60,17 +49,30 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int) -> DataFrame:
     return spark.read.format("libsvm").option("numFeatures", num_features).load(path)
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether the writer of a folder has put its success file there."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException:
+        return False
+    return True
+
+
 def materialize_once(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write under the feature set's own name unless it is there already."""
+    """Write under the feature set's own name unless a finished set is there.
+    What a broken run has left is replaced."""
     path = f"{root}/{name}"
-    df.write.mode("ignore").parquet(path)
+    if not _complete(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fit_or_load(estimator: Estimator, training: DataFrame, path: str) -> PipelineModel:
-    """Train and save only if no model is stored at the path, then load it."""
-    try:
-        training.sparkSession.read.text(path + "/metadata")
-    except AnalysisException:
-        estimator.fit(training).write().overwrite().save(path)
-    return PipelineModel.load(path)
+def fit_or_load(estimator: Pipeline, training: DataFrame, path: str) -> PipelineModel:
+    """Train and save only if no finished model is stored at the path, then
+    load it. A note beside the model is written last and says that it is
+    finished."""
+    spark = training.sparkSession
+    if not _complete(spark, f"{path}/finished"):
+        estimator.fit(training).write().overwrite().save(f"{path}/model")
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/finished")
+    return PipelineModel.load(f"{path}/model")

@@ -8,13 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _root(spark: SparkSession) -> str:
+    """The cluster's shared folder: spark.checkpoint.dir, or the checkpoint
+    folder of the context. Only a session whose executors are threads of this
+    machine gets a temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if found := context.getCheckpointDir():
+        return found
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("executors share no folder: set spark.checkpoint.dir to one that all of them can read and write")
+    return tempfile.mkdtemp(prefix="shelfscore-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir. Only a session without that
-    setting (a test on one machine) gets a local temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="shelfscore-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder in the storage that all executors share."""
+    return f"{_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from shelfscore.sources.scratch import lookup
+
 
 def _strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
@@ -21,37 +21,29 @@ ATTRIBUTES = _strings("product_uid", "name", "value")
 DESCRIPTIONS = _strings("product_uid", "description")
 
 
-@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as it is read the first time; listing its files and reading its
-    schema once serves every query of the session."""
+    """A table with the files that it has now."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Text work is heavy per byte. A scan that yields fewer tasks than there
-    are cores is spread by key; a large table is left as it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-@lru_cache(maxsize=64)
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, product_uid, title, search_term, relevance: one row per user turn."""
+    """id, product_uid, title, search_term, relevance: one row per user turn.
+
+    A conversation is a product here and may be long. Names and labels are
+    joined first and written, so the turns meet one table in one join, both
+    sides straight from a shuffle, and a hot product is split. The id is text:
+    no number of turns makes two rows share one."""
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("conv_id"), "p_name")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("conv_id"), "quality")
+    products = lookup(parts.join(labels, "conv_id", "left"), "products")
     score = (1 + F.coalesce("quality", F.lit(0))).cast("double") + F.lit(0.33) * (F.col("turn") % 3)
-    return (
-        turns.join(parts, "conv_id")
-        .join(labels, "conv_id", "left")
-        .select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
-            F.col("conv_id").alias("product_uid"),
-            F.col("p_name").alias("title"),
-            F.col("text").alias("search_term"),
-            F.round(score, 2).alias("relevance"),
-        )
+    return turns.join(products, "conv_id").select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"),
+        F.col("conv_id").alias("product_uid"),
+        F.col("p_name").alias("title"),
+        F.col("text").alias("search_term"),
+        F.round(score, 2).alias("relevance"),
     )
 
 
@@ -59,7 +51,6 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train(spark, sf_dir).drop("relevance")
 
 
-@lru_cache(maxsize=64)
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_uid, name, value: each part unpivoted in one scan."""
     parts = table(spark, sf_dir, "part").select(
@@ -71,9 +62,7 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.unpivot("product_uid", ["brand", "type", "size"], "name", "value")
 
 
-@lru_cache(maxsize=64)
 def product_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("product_uid"), F.col("text").alias("description")
     )
-    return spread(texts, "product_uid")

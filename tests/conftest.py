@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("shelfscore-tests")
@@ -20,6 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -41,13 +41,16 @@ def catalogue(spark, tmp_path_factory):
 
 
 def test_catalogue_to_scores(spark, catalogue, tmp_path):
-    words = files.stopword_list(files.load_stopwords(spark, write(tmp_path / "stop.csv", ["a"], [["it"], ["don't"], ["say"]])))
+    table = files.load_stopwords(spark, write(tmp_path / "stop.csv", ["a"], [["it"], ["don't"], ["say"]]))
     train = catalogue["train"]
-    bundle = bags.product_bundle(train, catalogue["attributes"], catalogue["descriptions"], words)
+    bundle = bags.product_bundle(train, catalogue["attributes"], catalogue["descriptions"], table)
     row = {r["term"]: r["tf"] for r in bundle.where("id = '0'").collect()}
     # "Some " goes with its space; the inch mark and the apostrophe glue.
     assert row == {"red": 4, "lamp": 3, "colour": 1, "sturdy": 1, "its": 1, "6": 1, "5": 1, "wide": 1}
 
+    words = [r["word"] for r in table.collect()]
+    constant = bags.product_bundle(train, catalogue["attributes"], catalogue["descriptions"], words)
+    assert sorted(map(tuple, constant.collect())) == sorted(map(tuple, bundle.collect()))
     training, search = bags.training_tokens(train, words), bags.search_tokens(train)
     shared = bags.shared_bag(train, catalogue["attributes"], catalogue["descriptions"], words)
     scored = cosine.query_product_cosine(training, search, shared)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.sql import functions as F
 
-from shelfscore.functions.vectors import sparse_vector
+from shelfscore.functions.vectors import as_vectors, sparse_struct
 from shelfscore.operators import bags, cosine, features
 
 
@@ -49,8 +49,8 @@ def test_vectors_survive_unfolding(spark):
 
 
 def test_empty_sparse_vector(spark):
-    empty = sparse_vector(5, F.array().cast("array<int>"), F.array().cast("array<double>"))
-    assert spark.range(1).select(empty.alias("v")).first()["v"].size == 5
+    empty = sparse_struct(5, F.array().cast("array<int>"), F.array().cast("array<double>"))
+    assert as_vectors(spark.range(1).select(empty.alias("v")), "v", "empty").first()["v"].size == 5
 
 
 def test_normalised_rows_have_length_one(spark):

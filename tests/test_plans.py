@@ -5,9 +5,9 @@ import re
 import pytest
 from conftest import SF_DIR
 
-import __spark_entry__ as entry
+from shelfscore import plans
 
-QUERIES = entry.queries()
+QUERIES = plans.QUERIES
 # Their plans are covered by the queries they are made of.
 SLOW = {"model_grid", "random_forest", "explain_model"}
 

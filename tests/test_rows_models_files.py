@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shelfscore.functions.sampling import key_hash
+from shelfscore.functions.sampling import RANGE, key_hash
 from shelfscore.operators import models, rows
 from shelfscore.sources import files, tables
 from shelfscore.sources.scratch import scratch_dir, written
@@ -71,7 +73,7 @@ def test_weights_equal_repeated_rows(spark):
     repeated = examples(spark, [v for v, t in zip(values, times) for _ in range(t)])
     counted = examples(spark, values).withColumn("weight", F.element_at(F.lit(times), (F.col("id") + 1).cast("int")).cast("double"))
     for plain, weighted in [
-        (models.linear_regression(1), models.linear_regression(1, weightCol="weight")),
+        (models.linear_regression("normal"), models.linear_regression("normal", weightCol="weight")),
         (models.decision_tree(), models.decision_tree(weightCol="weight")),
     ]:
         a = models.mse(plain.fit(repeated).transform(repeated)).first()["mse"]
@@ -81,7 +83,7 @@ def test_weights_equal_repeated_rows(spark):
 
 def test_line_goes_through_the_origin(spark):
     values = [(1.0, 2.0), (2.0, 3.0), (5.0, 4.0)]
-    model = models.linear_regression(1).fit(examples(spark, values))
+    model = models.linear_regression("normal").fit(examples(spark, values))
     assert model.intercept == 0.0
     assert model.coefficients[0] == pytest.approx(sum(x * y for x, y in values) / sum(x * x for x, _ in values))
 
@@ -90,7 +92,7 @@ def test_grid_names_every_cell(spark):
     data = rows.train_test_split(examples(spark, [(i, i % 5) for i in range(60)]), "id")
     grid = models.model_grid(
         [
-            ("x", data, None, [("tree", models.decision_tree()), ("line", models.linear_regression(1))]),
+            ("x", data, None, [("tree", models.decision_tree()), ("line", models.linear_regression("normal"))]),
             ("y", data.withColumn("w", F.lit(2.0)), "w", [("forest", models.random_forest(weightCol="w"))]),
         ]
     ).collect()
@@ -123,13 +125,74 @@ def test_junk_labels_fail_unless_lenient(spark, tmp_path):
 def test_stopword_file_is_split_on_non_word_characters(spark, tmp_path):
     (tmp_path / "words.csv").write_bytes(b"a,\r\ndon't,\r\nThe,\r\na,\r\n\r\n")
     words = files.load_stopwords(spark, str(tmp_path / "words.csv"))
-    assert sorted(files.stopword_list(words)) == ["a", "don", "t", "the"]
+    assert sorted(r["word"] for r in words.collect()) == ["a", "don", "t", "the"]
+
+
+def test_solvers_agree(spark):
+    values = [(float(x), 2.0 * x + (x % 3)) for x in range(1, 40)]
+    lines = [models.linear_regression(solver).fit(examples(spark, values)).coefficients[0] for solver in ("normal", "l-bfgs")]
+    assert lines[0] == pytest.approx(lines[1], abs=1e-6)
+
+
+@pytest.mark.parametrize("n", [0, 10, 3_000])
+def test_limit_orders_a_few_times_n_rows_only(spark, n):
+    wanted = rows.likely_rows(n)
+    assert wanted <= 2 * n + 200
+    low = spark.range(200_000).where(key_hash(F.col("id")) < int(RANGE * wanted / 200_000)).count()
+    assert n <= low < 2 * wanted
+
+
+def test_appended_files_are_seen(spark):
+    root = scratch_dir(spark, "grows")
+    spark.range(5).write.parquet(f"{root}/part.parquet")
+    assert tables.table(spark, root, "part").count() == 5
+    spark.range(5).write.mode("append").parquet(f"{root}/part.parquet")
+    assert tables.table(spark, root, "part").count() == 10
+
+
+def test_half_written_sets_and_models_are_made_anew(spark):
+    root = scratch_dir(spark, "half").removeprefix("file://")
+    files.materialize_once(spark.range(3), root, "set")
+    os.remove(f"{root}/set/_SUCCESS")
+    assert files.materialize_once(spark.range(9), root, "set").count() == 9
+    estimator = Pipeline(stages=[models.linear_regression("normal")])
+    files.fit_or_load(estimator, examples(spark, [(1.0, 2.0)]), f"{root}/model")
+    os.remove(f"{root}/model/finished/_SUCCESS")
+    again = files.fit_or_load(estimator, examples(spark, [(1.0, 9.0)]), f"{root}/model")
+    assert again.stages[0].coefficients[0] == pytest.approx(9.0)
+
+
+class _Cluster:
+    """As much of a session as the folder is chosen by."""
+
+    def __init__(self, master, named=None, context=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master, self._context = master, context
+
+    def getCheckpointDir(self):
+        return self._context
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    assert scratch_dir(_Cluster("spark://x", "hdfs://s/"), "t").startswith("hdfs://s/t-")
+    assert scratch_dir(_Cluster("spark://x", context="hdfs://c"), "t").startswith("hdfs://c/t-")
+    assert "/t-" in scratch_dir(_Cluster("local[4]"), "t")
+    for master in ("spark://x", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(_Cluster(master), "t")
 
 
-def test_long_stopword_list_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(files, "MAX_STOPWORDS", 3)
-    words = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "word string")
-    assert files.stopword_list(words) is None
+def test_ids_of_long_conversations_differ(spark):
+    root = scratch_dir(spark, "long")
+    turns = spark.range(1_500).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"))
+    turns = turns.unionAll(spark.range(3).select(F.lit(8).cast("long"), "id"))
+    turns.withColumns({"role": F.lit("user"), "text": F.lit("red lamp")}).write.parquet(f"{root}/conversations.parquet")
+    spark.range(10).select(F.col("id").alias("p_partkey"), F.lit("lamp").alias("p_name")).write.parquet(f"{root}/part.parquet")
+    labels = spark.range(10).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    labels.write.parquet(f"{root}/labels.parquet")
+    train = tables.train(spark, root)
+    assert train.count() == 1_503 == train.select("id").distinct().count()
 
 
 def test_libsvm_round_trip(spark):
@@ -148,7 +211,7 @@ def test_feature_sets_do_not_replace_each_other(spark):
 
 def test_stored_model_is_loaded_instead_of_trained(spark):
     path = scratch_dir(spark, "model")
-    estimator = Pipeline(stages=[models.linear_regression(1)])
+    estimator = Pipeline(stages=[models.linear_regression("normal")])
     first = files.fit_or_load(estimator, examples(spark, [(1.0, 2.0), (2.0, 4.0)]), path)
     again = files.fit_or_load(estimator, examples(spark, [(1.0, 9.0)]), path)
     assert again.stages[0].coefficients == first.stages[0].coefficients

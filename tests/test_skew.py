@@ -7,6 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfscore.operators import bags, features, pairs
+from shelfscore.plans import QUERIES
+from shelfscore.sources import tables
+from shelfscore.sources.scratch import scratch_dir
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -106,3 +109,59 @@ def test_common_last_word_meets_nothing_in_vain(spark):
     lists = pairs.rarity_ordered(bag.select("id", F.col("term").alias("element")))
     sets = pairs.collapse(pairs.with_digest(lists, F.col("elements")), "elements")
     assert pairs.jaccard_candidates(sets, 0.5).count() == 0
+
+
+# ---- one long conversation, from the tables on ------------------------------
+
+
+@pytest.fixture(scope="module")
+def long_conversation(spark):
+    """3,000 turns of one conversation in each of many files, and few others."""
+    root = scratch_dir(spark, "long")
+    hot = spark.range(3_000, numPartitions=32).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"))
+    rest = spark.range(300, numPartitions=32).select((F.col("id") % 60).alias("conv_id"), (F.col("id") + 10_000).alias("turn"))
+    text = F.concat(F.lit("red lamp number "), F.col("turn").cast("string"))
+    both = hot.unionAll(rest).withColumns({"role": F.lit("user"), "text": text})
+    both.repartition(32, "turn").write.parquet(f"{root}/conversations.parquet")
+    parts = spark.range(60).select(
+        F.col("id").alias("p_partkey"),
+        F.lit("blue lamp").alias("p_name"),
+        F.lit("b").alias("p_brand"),
+        F.lit("t").alias("p_type"),
+        F.lit(3).alias("p_size"),
+    )
+    parts.write.parquet(f"{root}/part.parquet")
+    ids = spark.range(60).select(F.col("id").alias("doc_id"))
+    ids.withColumn("quality", F.lit(1)).write.parquet(f"{root}/labels.parquet")
+    ids.withColumns({"text": F.lit("a sturdy lamp of steel"), "lang": F.lit("en")}).write.parquet(f"{root}/documents.parquet")
+    return root
+
+
+def plans_of_run(spark, run):
+    """The adapted plans of all queries that a call starts, written ones too."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    out = run()
+    out.write.format("noop").mode("overwrite").save()
+    found = store.executionsList(int(before), 1000)
+    return [found.apply(k).physicalPlanDescription() for k in range(found.size())], out
+
+
+def test_hot_product_is_split_in_the_training_view(spark, tiny_partitions, long_conversation):
+    rows = tables.train(spark, long_conversation)
+    assert "SortMergeJoin(skew=true)" in final_plan(rows)
+    assert rows.count() == 3_300 == rows.select("id").distinct().count()
+
+
+@pytest.mark.parametrize("name", ["product_bundle", "tf_hashed", "left_join_uid", "query_product_cosine"])
+def test_hot_product_is_split_in_queries_over_it(spark, tiny_partitions, long_conversation, name):
+    plans, _ = plans_of_run(spark, lambda: QUERIES[name](spark, long_conversation))
+    assert sum("skew=true" in p for p in plans) >= 2, name
+
+
+def test_bundle_is_summed_by_row_and_term(spark, tiny_partitions, long_conversation):
+    found = QUERIES["product_bundle"](spark, long_conversation)
+    assert "hashpartitioning(id" in final_plan(found)
+    counts = found.where("product_uid = 7").groupBy("term").agg(F.sum("tf").alias("n")).collect()
+    # Each of its 3,005 rows has one lamp in title, search and description.
+    assert {r["term"]: r["n"] for r in counts}["lamp"] == 3_005 * 3

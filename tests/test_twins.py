@@ -5,9 +5,10 @@ from compare import connect, differences
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from shelfscore import plans
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = plans.QUERIES
+SQL = plans.SQL
 
 
 @pytest.fixture(scope="module")
