@@ -1,0 +1,220 @@
+"""Exact, near and substring deduplication against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfscore.llm import components, exact, hashing, minhash, substring
+
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rows_of(df, *columns):
+    return [tuple(r) for r in df.select(*columns).collect()]
+
+
+def lowered(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+# ---- exact ----
+
+
+def brute_exact(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(SPACE.sub(" ", t or ""), []).append(i)
+    out = []
+    for t, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        sha = hashlib.sha256(t.encode()).hexdigest()
+        out += [(i, keep, len(ids), i == keep if keep is not None else True, sha) for i in ids]
+    return out
+
+
+def key(row):
+    return tuple((x is None, str(x)) for x in row)
+
+
+@pytest.mark.parametrize("closed", [None, "doc_id % 3 = 1", "false", "true"])
+def test_exact_groups_equal_brute_force(spark, cases, closed):
+    found = exact.deduplicate(cases, closed=F.expr(closed) if closed else None, keys_per_filter=4)
+    found = found.withColumn("sha", F.lower(F.hex("digest")))
+    want = brute_exact(rows_of(cases, "doc_id", "text"))
+    assert sorted(rows_of(found, "id", "keep_id", "group_size", "kept", "sha"), key=key) == sorted(want, key=key)
+
+
+def test_texts_that_share_a_digest_are_told_apart_by_their_bytes(cases):
+    def weak(text):
+        return F.unhex(F.substring(F.sha2(text, 256), 1, 1).cast("string"))
+
+    found = exact.deduplicate(cases, keys_per_filter=2, digest=weak)
+    want = [r[:4] for r in brute_exact(rows_of(cases, "doc_id", "text"))]
+    assert sorted(rows_of(found, "id", "keep_id", "group_size", "kept"), key=key) == sorted(want, key=key)
+
+
+def test_exact_of_nothing_is_nothing(no_rows):
+    assert exact.deduplicate(no_rows).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 100, 5_000, 40_000])
+def test_fuse_filter_finds_all_keys_and_few_others(n):
+    rng = np.random.default_rng(n)
+    keys = rng.integers(0, 2**64, n, dtype=np.uint64)
+    built = exact.build_fuse(np.concatenate([keys, keys[: n // 2]]))
+    assert exact.probe_fuse(keys, *built).all()
+    others = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
+    assert exact.probe_fuse(others, *built).mean() < 0.01
+
+
+def test_only_positives_reach_the_exact_buckets(spark):
+    old = spark.range(3_000).select("id", F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    new = spark.range(2_500, 6_000).select("id", F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    _, filters = exact.snapshot(old, "a", 4)
+    hits = exact.screen(exact.grouped(new), filters, 4, 3)
+    known = hits.join(old, "digest", "left_semi").count()
+    assert known == 500 and hits.count() < 500 + 60
+
+
+# ---- near ----
+
+
+def brute_near(rows):
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall(lowered(t))
+        s = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+        sets[i] = s
+    ids, up = list(sets), {i: i for i in sets}
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                ra, rb = up[a], up[b]
+                for k in ids:
+                    if up[k] in (ra, rb):
+                        up[k] = min(ra, rb)
+    return {i: (len(sets[i]), up[i], i == up[i]) for i in ids}
+
+
+def test_near_groups_equal_brute_force(cases):
+    known = cases.where("doc_id is not null")
+    want = brute_near(rows_of(known, "doc_id", "text"))
+    found = rows_of(minhash.near_duplicates(cases), "id", "n_shingles", "component_id", "kept")
+    assert {r[0]: r[1:] for r in found if r[0] is not None} == want
+    assert sorted(found, key=key)[-1][0] is None and len(found) == cases.count()
+    assert [r[2:] for r in found if r[0] is None and r[1]] == [(0, False)]
+    assert [r[2:] for r in found if r[0] is None and not r[1]] == [(None, True)]
+
+
+def test_chains_of_near_copies_are_one_component(spark):
+    """Each text is near its neighbours only."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[6 * k : 6 * k + 100])) for k in range(40)]
+    rows += [(1000 + k, " ".join(f"v{k}x{j}" for j in range(30))) for k in range(30)]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()}
+    assert found == {i: c for i, (_, c, _) in brute_near(rows).items()}
+    assert {found[k] for k in range(40)} == {0}
+
+
+def test_similarities_around_the_threshold(spark):
+    rng, rows = random.Random(9), []
+    for k in range(40):
+        base = [f"{k}a{j}" for j in range(rng.randint(5, 120))]
+        rows.append((10 * k, " ".join(base)))
+        for c in range(3):
+            cut = base[rng.randint(0, len(base) // 6) :] + [f"{k}b{c}{j}" for j in range(rng.randint(0, len(base) // 8))]
+            rows.append((10 * k + c + 1, " ".join(cut)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
+    assert found == brute_near(rows)
+
+
+def test_min_max_agreement_estimates_the_similarity():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 2**64, 9_000, dtype=np.uint64)
+    one, two = a[:6_000], a[2_000:8_000]
+    p = minhash._permutations(2_000)
+    agree = [(x == y).mean() for x, y in zip(minhash.min_max(one, p), minhash.min_max(two, p), strict=True)]
+    assert abs(np.mean(agree) - 0.5) < 0.03
+
+
+def test_near_duplicates_of_nothing(no_rows):
+    assert minhash.near_duplicates(no_rows).count() == 0
+
+
+def test_components_of_stars_chains_and_rings(spark):
+    links = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(202, 201), (201, 200), (200, 202)] + [(5, 5)]
+    found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}, **{k: 200 for k in range(200, 203)}}
+    assert found == want
+
+
+# ---- substrings ----
+
+
+def brute_substring(rows, n=50):
+    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    first = {}
+    for i, w in words:
+        for k in range(len(w) - n + 1) if i is not None else ():
+            s = tuple(w[k : k + n])
+            first[s] = min(first.get(s, i), i)
+    out = []
+    for i, w in words:
+        gone = set()
+        for k in range(len(w) - n + 1) if i is not None else ():
+            if first[tuple(w[k : k + n])] < i:
+                gone.update(range(k, k + n))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def test_removed_words_equal_brute_force(cases):
+    found = rows_of(substring.deduplicated(cases), "id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(found, key=key) == sorted(brute_substring(rows_of(cases, "doc_id", "text")), key=key)
+
+
+def test_passages_of_all_lengths_and_orders(spark):
+    rng = random.Random(4)
+    pool = [" ".join(f"p{k}w{j % rng.randint(5, 60)}" for j in range(rng.randint(20, 130))) for k in range(12)]
+    rows = []
+    for i in range(80):
+        parts = [rng.choice(pool) if rng.random() < 0.5 else " ".join(f"u{i}{rng.random()}" for _ in range(30)) for _ in range(4)]
+        cut = " ".join(parts).split()
+        rows.append((rng.randint(0, 60), " ".join(cut[rng.randint(0, 30) :])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(substring.deduplicated(docs), "id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(found) == sorted(brute_substring(rows))
+
+
+def test_equal_windows_share_a_seed():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        shared = rng.integers(0, 9, 50).astype(np.uint64)
+        sides = [np.concatenate([rng.integers(0, 9, rng.integers(0, 30)).astype(np.uint64), shared, rng.integers(0, 9, 20).astype(np.uint64)]) for _ in range(2)]
+        a, b = (set(substring.winnow(s, 50, 10)[0].tolist()) for s in sides)
+        assert a & b
+
+
+def test_substrings_of_nothing(no_rows):
+    assert substring.deduplicated(no_rows).count() == 0
+
+
+# ---- hashes ----
+
+
+def test_word_hashes_follow_the_words_only():
+    text = "Aé bb\tAé\x0bccc  bb"
+    h = hashing.word_hashes(text.encode())
+    assert len(h) == 5 and h[0] == h[2] and h[1] == h[4] and len(set(h.tolist())) == 3
+    assert (hashing.word_hashes(b"AB cd", lower=True) == hashing.word_hashes(b"ab cd")).all()
+    many = hashing.word_hashes(" ".join(str(k) for k in range(200_000)).encode())
+    assert len(np.unique(many)) == 200_000
