@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,18 +26,44 @@ LENGTH = 4096
 END_ID = 1
 # Pieces that one packing task should take.
 BLOCK_PIECES = 16_384
-# Token ids of known word pieces that a worker keeps.
-CACHE_PIECES = 250_000
+# Words, and as many pre-tokens, whose ids a worker keeps.
+CACHE_PIECES = 400_000
 
 _PIECES = "doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+class _Pieces(dict):
+    """Ids of pre-tokens, encoded when they are first met."""
+
+    def __init__(self, tokenizer) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model = tokenizer.model
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+
+    def __missing__(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isprintable() else "".join(t for t, _ in self.letters(piece))
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
+
+class _Words(dict):
+    """Ids of words between white space."""
+
+    def __init__(self, pieces: _Pieces, cut: re.Pattern) -> None:
+        self.pieces, self.cut = pieces, cut.findall
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = b"".join(map(self.pieces.__getitem__, self.cut(word)))
+        return ids
+
+
 class WordEncoder:
     """Token ids of a text by a tokenizer that encodes each pre-token apart.
 
-    Texts in plain Latin letters are cut into pre-tokens here and each distinct
-    one is encoded once; any other text goes through the tokenizer as a whole.
-    Both ways give the same ids."""
+    No pre-token holds white space, so texts in plain Latin letters are split at
+    it and each distinct word and pre-token is encoded once; any other text goes
+    through the tokenizer as a whole. Both ways give the same ids."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -48,30 +75,26 @@ class WordEncoder:
         digits = re.escape("".join(c for c in plain if unicodedata.category(c)[0] == "N"))
         self.other = re.compile("[^" + re.escape("".join(plain)) + "]|<\\|")
         # Fixed value: the pre-token pattern of this vocabulary, on plain letters.
-        self.cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
-        self.known: dict[str, bytes] = {}
+        cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
+        self.pieces = _Pieces(self.tokenizer)
+        self.words = _Words(self.pieces, cut)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [None if self.other.search(t) else self.cut.findall(t.lower()) for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
-        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
-        for piece, ids in zip(new, self._whole(new), strict=True):
-            known[piece] = ids
-        whole = iter(self._whole([t for t, pieces in zip(texts, cut, strict=True) if pieces is None]))
-        return [next(whole) if pieces is None else b"".join([known[p] for p in pieces]) for pieces in cut]
+        for known in (self.words, self.pieces):
+            if len(known) > CACHE_PIECES:
+                known.clear()
+        find = self.words.__getitem__
+        return [self._whole(t) if self.other.search(t) else b"".join(map(find, t.lower().split())) for t in texts]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): a document's ids and the end
     id, cut into pieces of at most `length`."""
-    end = np.array([END_ID], dtype="<u4").tobytes()
+    end = array("I", [END_ID]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordEncoder(tokenizer)
