@@ -7,9 +7,10 @@ permutations make two bands. With 5 rows and 50 bands a pair at the similarity
 of 0.75 meets in some band but for one case in 700,000.
 
 Documents of equal sets are one class. In a band bucket every class is paired
-with the smallest class only. Links are confirmed on full sets, and buckets
-whose classes still lie in several components then pair across components, so
-that a large family of near copies is not listed pair by pair."""
+with the smallest class only. Links are confirmed on full sets. Classes of buckets that
+still lie in several components then meet across components by their rarest
+shingles, which loses no similar pair, so that a large family of near copies is
+not listed pair by pair."""
 
 from __future__ import annotations
 
@@ -136,8 +137,8 @@ def near_duplicates(
     classes = drawn.where("n_shingles > 0").groupBy("set_digest").agg(F.min("id").alias("node"))
     classes = written(classes, "classes")
     firsts = drawn.join(classes, (drawn["set_digest"] == classes["set_digest"]) & (drawn["id"] == classes["node"]), "left_semi")
-    firsts = written(firsts.select(F.col("id").alias("node"), F.col("n_shingles").alias("n"), "keys"), "firsts")
-    buckets = firsts.select("node", "n", F.explode("keys").alias("key"))
+    firsts = written(firsts.select(F.col("id").alias("node"), "keys"), "firsts")
+    buckets = firsts.select("node", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = written(shared.where(F.col("low") < F.col("high")).select("key", "low"), "buckets")
     met = written(buckets.join(shared, "key"), "met")
@@ -148,26 +149,68 @@ def near_duplicates(
     texts = written(source.join(written(partners, "partners"), "id", "left_semi"), "texts")
     links = written(confirmed(star, texts, percent), "links")
     names = written(cc.components(links), "names")
-    rest = _across(met, names, star, percent)
-    more = written(confirmed(rest, texts, percent), "links")
-    if not more.isEmpty():
-        names = written(cc.components(links.unionAll(more)), "names")
-    found = classes.join(names, "node", "left").select("set_digest", F.coalesce("component", "node").alias("component"))
+    found = classes.join(names, "node", "left").select("set_digest", "node", F.coalesce("component", "node").alias("component"))
+    found = written(found, "found")
+    placed = found.select("node", "component")
+    more = written(confirmed(_across(met, placed, texts, star, percent), texts, percent), "links")
+    # Whole components hang together by what is left.
+    tops = placed.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    lifted = more.join(tops, "a").join(tops.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    tops = written(cc.components(lifted).toDF("component", "top"), "tops")
+    found = found.join(tops, "component", "left").select("set_digest", F.coalesce("top", "component").alias("component"))
     out = drawn.join(written(found, "found"), "set_digest", "left")
     component = F.coalesce("component", "id").alias("component_id")
     out = out.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, component).otherwise(F.col("id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _across(met: DataFrame, names: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that lie in different components, fit each other's
-    size and were not tried before."""
-    placed = met.join(names, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    placed = written(placed, "placed")
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    placed = written(placed.join(written(open_keys.select("key"), "open"), "key", "left_semi"), "placed")
-    one = placed.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    two = placed.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (F.col("c_a") != F.col("c_b"))
-    pairs = one.join(two, (one["key"] == two["key"]) & (F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t, SHINGLE).view(np.int64) for t in batch["text"].cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+
+
+def _across(met: DataFrame, placed: DataFrame, texts: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may still be similar, out of buckets whose documents lie in
+    several components.
+
+    Of a similar pair either document's rarest shingles hold a common one, as
+    all the others together are too few: with s = percent / 100, the first
+    n - ceil(s * n) + 1 of n. Variants that went far from each other have many
+    shingles of their own, which come first and meet nothing. The places of the
+    common one bound what can be shared. (a, b) have different components and
+    were not tried before."""
+    kind = texts.schema["id"].dataType.simpleString()
+    rows = met.select("key", "node").join(placed, "node")
+    rows = written(rows, "placed")
+    open_keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    crowd = rows.join(written(open_keys.select("key"), "open"), "key", "left_semi").select("node", "component").distinct()
+    crowd = written(crowd, "crowd")
+    chosen = texts.join(crowd, texts["id"] == crowd["node"]).select("id", "text")
+    sets = written(chosen.mapInArrow(_shingles, f"id {kind}, shingles array<bigint>").distinct(), "shingles")
+    flat = sets.select(F.col("id").alias("node"), F.explode("shingles").alias("shingle"))
+    rarity = written(flat.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "rarity")
+    # A text's own shingles, one per row and bounded by the text, rarest first.
+    ranked = flat.join(rarity, "shingle", "left").groupBy("node").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("df").isNull()).alias("alone"),
+        F.sort_array(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "shingle")))).alias("shared"),
+    )
+    s = percent / 100
+    front = F.greatest(F.col("n") - F.ceil(s * F.col("n") - 1e-9) + 1 - F.col("alone"), F.lit(0)).cast("int")
+    posted = ranked.select("node", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), front)).alias("at", "e"))
+    posted = posted.select("node", "n", (F.col("alone") + F.col("at")).alias("at"), F.col("e.shingle").alias("shingle"))
+    posted = written(posted.join(crowd, "node"), "posted")
+    # A pair across components has one side at least outside the largest one.
+    sizes = posted.groupBy("shingle", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("m"), F.count("*").alias("k"))
+    largest = written(largest.where("k > 1").select("shingle", F.col("m.component").alias("largest")), "largest")
+    one = posted.join(largest, "shingle").where(F.col("component") != F.col("largest"))
+    one = written(one, "outside").select("shingle", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("component").alias("c_x"))
+    two = posted.select("shingle", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("at").alias("at_y"), F.col("component").alias("c_y"))
+    low, high = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
+    reach = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    likely = (low * 100 >= high * percent) & (reach * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)
+    pairs = one.join(two, (one["shingle"] == two["shingle"]) & (F.col("c_x") != F.col("c_y")) & likely)
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
