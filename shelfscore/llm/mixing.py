@@ -91,9 +91,9 @@ def mixture(
 
 def _in_blocks(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """Adds mix_block; a source's blocks are filled by a hash of the key."""
-    counts = plan.select(F.col("mix_source").alias("s"), "blocks")
-    placed = rows.join(counts, rows["mix_source"].eqNullSafe(counts["s"])).drop("s")
-    return placed.withColumn("mix_block", F.pmod(F.xxhash64(F.lit(seed), "mix_key"), F.col("blocks"))).drop("blocks")
+    counts = plan.select(F.col("mix_source").alias("mix_s"), F.col("blocks").alias("mix_blocks"))
+    placed = rows.join(counts, rows["mix_source"].eqNullSafe(counts["mix_s"])).drop("mix_s")
+    return placed.withColumn("mix_block", F.pmod(F.xxhash64(F.lit(seed), "mix_key"), F.col("mix_blocks"))).drop("mix_blocks")
 
 
 def draw(
@@ -129,20 +129,22 @@ def draw(
     rounds = F.col("quota") / F.col("source_tokens")
     part = (F.col("mix_epoch") + F.col("rank") / (F.col("blocks") + 1)) / F.ceil(rounds)
     drawn = drawn.select(
-        F.col("mix_source").alias("s"),
-        F.col("mix_block").alias("k"),
+        F.col("mix_source").alias("mix_s"),
+        F.col("mix_block").alias("mix_k"),
         "mix_epoch",
         part.alias("mix_slot"),
-        F.when(F.col("left") < F.col("block_tokens"), F.col("left")).alias("left"),
+        F.when(F.col("left") < F.col("block_tokens"), F.col("left")).alias("mix_left"),
     )
     drawn = written(drawn, "draws")
-    out = placed.join(drawn.hint("merge"), placed["mix_source"].eqNullSafe(drawn["s"]) & (placed["mix_block"] == drawn["k"])).drop("s", "k")
-    whole = out.where(F.col("left").isNull())
+    same = placed["mix_source"].eqNullSafe(drawn["mix_s"]) & (placed["mix_block"] == drawn["mix_k"])
+    out = placed.join(drawn.hint("merge"), same).drop("mix_s", "mix_k")
+    whole = out.where(F.col("mix_left").isNull())
     # The one block of each source at which its quota ends.
     inner = W.partitionBy("mix_source", "mix_block").orderBy(F.xxhash64(F.lit(seed), "mix_epoch", "mix_key"), "mix_key")
     before = F.coalesce(F.sum("mix_tokens").over(inner.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    cut = out.where(F.col("left").isNotNull()).withColumn("mix_before", before).where("mix_before < left").drop("mix_before")
-    return whole.unionByName(cut).drop("left")
+    cut = out.where(F.col("mix_left").isNotNull()).withColumn("mix_before", before)
+    cut = cut.where(F.col("mix_before") < F.col("mix_left")).drop("mix_before")
+    return whole.unionByName(cut).drop("mix_left")
 
 
 def temperature_mix(
