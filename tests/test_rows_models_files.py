@@ -156,9 +156,9 @@ def test_half_written_sets_and_models_are_made_anew(spark):
     os.remove(f"{root}/set/_SUCCESS")
     assert files.materialize_once(spark.range(9), root, "set").count() == 9
     estimator = Pipeline(stages=[models.linear_regression("normal")])
-    files.fit_or_load(estimator, examples(spark, [(1.0, 2.0)]), f"{root}/model")
+    files.fit_or_load(estimator, examples(spark, [(1.0, 2.0), (2.0, 4.0)]), f"{root}/model")
     os.remove(f"{root}/model/finished/_SUCCESS")
-    again = files.fit_or_load(estimator, examples(spark, [(1.0, 9.0)]), f"{root}/model")
+    again = files.fit_or_load(estimator, examples(spark, [(1.0, 9.0), (2.0, 18.0)]), f"{root}/model")
     assert again.stages[0].coefficients[0] == pytest.approx(9.0)
 
 
