@@ -14,7 +14,7 @@ from shelfscore.sources import tables
 from shelfscore.sources.scratch import written
 
 # High enough that the heavier columns are thinned on small tables as well.
-DIMSUM_THRESHOLD = 5.0
+DIMSUM_THRESHOLD = 50.0
 BUNDLE_JACCARD = 0.5
 DOCUMENT_JACCARD = 0.3
 

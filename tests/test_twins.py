@@ -1,5 +1,7 @@
 """Every registered query against its SQL twin on the whole small tables."""
 
+import math
+
 import pytest
 from compare import connect, differences
 from conftest import SF_DIR
@@ -36,3 +38,13 @@ def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns == ["id", "product_uid", "relevance", "term", "tf"]
     assert result.count() > 0
+
+
+def test_sampling_thins_heavy_columns(spark):
+    """The registered threshold is one at which entries are really drawn."""
+    from shelfscore.operators import cosine
+    from shelfscore.plans import feature_queries as Q
+
+    rows = Q.unit_rows(spark, "/root/testdata/sf0.01")
+    heaviest = cosine._unit_columns(rows).agg({"norm": "max"}).first()[0]
+    assert heaviest > (10 * math.log(40_000) / Q.DIMSUM_THRESHOLD) ** 0.5
