@@ -25,7 +25,8 @@ def test_plan_is_free_of_cross_joins_and_python(spark, name):
 
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(QUERIES["product_bundle"](spark, SF_DIR)).split("== Physical Plan ==")[1]
-    assert "EqualTo(role,user)" in text
+    view = plan(QUERIES["project"](spark, SF_DIR)).split("== Physical Plan ==")[1]
+    assert "EqualTo(role,user)" in view and "struct<conv_id:bigint,turn:bigint,role:string,text:string>" in view
     schemas = set(re.findall(r"ReadSchema: (struct<[^>]*>)", text))
     assert "struct<doc_id:bigint,text:string>" in schemas
     assert not any("p_retailprice" in s or "lang" in s for s in schemas)
