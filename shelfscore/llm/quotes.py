@@ -84,18 +84,24 @@ def _answers(parsed: DataFrame) -> DataFrame:
 
 
 def _rooted(parsed: DataFrame, answers: DataFrame) -> DataFrame:
-    """(id, conversation, depth): chains of answers followed by doubling."""
+    """(id, conversation, depth): chains of answers followed by doubling. Only
+    messages that have not come to the first of their chain take another step."""
     rows = parsed.select("id").where(F.col("id").isNotNull()).distinct().join(answers, "id", "left")
-    far = F.coalesce("reply_to", "id")
-    rows = written(rows.select("id", far.alias("up"), F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth")), "chains")
+    first = F.col("reply_to").isNull()
+    depth = F.when(first, 0).otherwise(1).cast("long")
+    rows = written(rows.select("id", F.coalesce("reply_to", "id").alias("up"), depth.alias("depth"), first.alias("done")), "chains")
     for _ in range(_MAX_DOUBLINGS):
-        above = rows.select(F.col("id").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
-        nexts = rows.join(above, "up", "left")
-        nexts = nexts.select("id", F.coalesce("top", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("more") > 0).alias("moved"))
-        nexts = written(nexts, "chains")
-        rows = nexts.drop("moved")
-        if nexts.where("moved").isEmpty():
+        open_ = rows.where(~F.col("done"))
+        if open_.isEmpty():
             break
+        above = rows.select(F.col("id").alias("at"), F.col("up").alias("top"), F.col("depth").alias("more"), F.col("done").alias("ended"))
+        step = open_.join(above, F.col("up") == F.col("at"), "left").select(
+            "id",
+            F.coalesce("top", "up").alias("up"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            F.coalesce("ended", F.lit(True)).alias("done"),
+        )
+        rows = written(rows.where("done").unionAll(step), "chains")
     return rows.select("id", F.col("up").alias("conversation"), "depth")
 
 
