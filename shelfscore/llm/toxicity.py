@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,8 +151,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
             yield pa.RecordBatch.from_arrays(columns, names=["id", "y", "terms"])
 
     def train(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending")])
-        lists = [np.array(x, dtype=np.int64).view(np.uint64) for x in table["terms"].to_pylist()]
+        # Views of the arrow buffers: terms are not made objects one by one.
+        table = table.take(pc.sort_indices(table, [("id", "ascending")])).combine_chunks()
+        column = table["terms"].chunk(0)
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+        lists = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         y = table["y"].to_numpy().astype(np.float64)
         drawn = {1: max(1, int(y.sum())), 0: max(1, int((1 - y).sum()))}
         scale = {k: counts.get(k, 0) / drawn[k] for k in drawn}
