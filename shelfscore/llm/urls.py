@@ -2,7 +2,8 @@
 
 Two smoothed Markov models of variable order learn how accepted and rejected
 addresses are spelt. An order that has not seen the last characters hands over
-to the next lower one. The score of an address is its mean log ratio per
+to the next lower one; counts are exact and lie in a table that grows with the
+input, which the characters of every address join. The score of an address is its mean log ratio per
 character; the threshold lies between the means of both training sets, nearer
 to the one that varies less. Addresses with a rule are the training sets, and
 only those without one are judged by the score."""
@@ -12,11 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscore.llm.storage import number_array, written
+from shelfscore.llm.storage import written
 
 ORDER = 4
-BUCKETS = 1 << 14
+# Counts are kept under the characters themselves. Whoever hashes them must keep
+# the whole 64-bit hash to find the same counts.
+BUCKETS = 1 << 64
 BACKOFF = 2.0
+# Parts of 1 in which log ratios are summed.
+_UNITS = 10**10
 _PAD = "\u0002"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,49 +47,62 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
     return name, verdict
 
 
-def _slot(padded: Column, at: Column, order: int, context: bool) -> Column:
-    """Place in the count arrays of the characters up to a position: those
-    before it (context) or with it. `at` counts from 1 in the unpadded text."""
-    text = F.substr(padded, at + (ORDER - order), F.lit(order if context else order + 1))
-    part = 2 * order + context
-    return (F.pmod(F.xxhash64(F.lit(part), text), F.lit(BUCKETS)) + part * BUCKETS).cast("int")
+def _grams(urls: DataFrame, *keys: str) -> DataFrame:
+    """keys and g, one row per character of a url: the ORDER characters before
+    it and itself. g holds what every lower order looks at."""
+    padded = F.concat(F.lit(_PAD * ORDER), F.col("url"))
+    known = urls.where("length(url) > 0").select(*keys, padded.alias("p"), F.length("url").alias("n"))
+    places = known.select(*keys, "p", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    return places.select(*keys, F.substr("p", F.col("i"), F.lit(ORDER + 1)).alias("g"))
 
 
-def character_counts(urls: DataFrame) -> tuple[list[int], list[int]]:
-    """Hashed counts of accepted and of rejected urls, by order and bucket.
+def _parts(grams: DataFrame, *keys: str) -> DataFrame:
+    """keys, part and text: for each order k the characters up to a position,
+    with it (part 2 k) and before it (part 2 k + 1, the context)."""
+    parts = [
+        F.struct(F.lit(2 * k + c).alias("part"), F.substr("g", F.lit(ORDER + 1 - k), F.lit(k if c else k + 1)).alias("text"))
+        for k in range(ORDER + 1)
+        for c in (0, 1)
+    ]
+    return grams.select(*keys, F.explode(F.array(*parts)).alias("x")).select(*keys, "x.part", "x.text")
 
-    urls is (url, verdict). Both lists have a fixed length at any input."""
-    known = urls.where("length(url) > 0").select("verdict", F.concat(F.lit(_PAD * ORDER), F.col("url")).alias("p"), F.length("url").alias("n"))
-    places = known.select("verdict", "p", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
-    slots = [_slot(F.col("p"), F.col("i"), k, c) for k in range(ORDER + 1) for c in (False, True)]
-    flat = places.select("verdict", F.explode(F.array(*slots)).alias("slot"))
-    counts = flat.groupBy("slot").agg(
+
+def character_counts(urls: DataFrame) -> DataFrame:
+    """(g, a, r): how often accepted and rejected urls hold each run of
+    ORDER + 1 characters, in a written table that grows with the input. Runs of
+    other urls are listed with counts of 0. urls is (url, verdict)."""
+    counts = _grams(urls, "verdict").groupBy("g").agg(
         F.count_if(F.col("verdict") == "allow").alias("a"), F.count_if(F.col("verdict") == "block").alias("r")
     )
-    found = {r["slot"]: (r["a"], r["r"]) for r in counts.collect()}
-    accepted, rejected = zip(*(found.get(k, (0, 0)) for k in range(2 * (ORDER + 1) * BUCKETS)), strict=True)
-    return list(accepted), list(rejected)
+    return written(counts, "url-grams")
+
 
+def gram_ratios(grams: DataFrame) -> DataFrame:
+    """(g, ratio): log(p_accepted / p_rejected) of the last character of each
+    run after the others, from exact counts of all orders."""
+    seen = _parts(grams.where("a + r > 0"), "a", "r").groupBy("part", "text").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+    seen = written(seen, "url-counts")
+    met = _parts(grams, "g").join(seen, ["part", "text"], "left")
+    wide = met.groupBy("g").agg(
+        *[F.coalesce(F.max(F.when(F.col("part") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for c in "ar" for k in range(2 * ORDER + 2)]
+    )
+    return written(wide.select("g", (_log_probability("a") - _log_probability("r")).alias("ratio")), "url-ratios")
 
-def _log_probability(counts: Column, padded: Column, at: Column) -> Column:
+
+def _log_probability(side: str) -> Column:
     """Interpolated from order 0 up; an unseen context changes nothing."""
     p = F.lit(1 / 256)
     for k in range(ORDER + 1):
-        seen = F.get(counts, _slot(padded, at, k, False))
-        context = F.get(counts, _slot(padded, at, k, True))
-        p = (seen + BACKOFF * p) / (context + BACKOFF)
+        p = (F.col(f"{side}{2 * k}") + BACKOFF * p) / (F.col(f"{side}{2 * k + 1}") + BACKOFF)
     return F.log(p)
 
 
-def log_ratio(models: tuple[list[int], list[int]], padded: Column, length: Column) -> Column:
-    """Mean over the characters of log(p_accepted / p_rejected)."""
-    good, bad = (number_array(m) for m in models)
-    total = F.aggregate(
-        F.sequence(F.lit(1), length),
-        F.lit(0.0),
-        lambda s, i: s + _log_probability(good, padded, i) - _log_probability(bad, padded, i),
-    )
-    return F.when(length > 0, total / length).otherwise(F.lit(0.0))
+def log_ratio(urls: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(key, score): mean over the characters of log(p_accepted / p_rejected).
+    Whole numbers are summed, so that no order of the rows changes a score."""
+    places = _grams(urls, "key").groupBy("key", "g").agg(F.count("*").alias("n"))
+    met = places.join(ratios, "g").select("key", "n", F.round(F.col("ratio") * _UNITS).cast("long").alias("units"))
+    return met.groupBy("key").agg((F.sum(F.col("n") * F.col("units")) / F.sum("n") / _UNITS).alias("score"))
 
 
 def filtered(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -100,10 +118,12 @@ def filtered(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_c
     rows = rows.withColumns({"host": host, "path": path})
     name, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": name, "ruled": verdict})
-    models = character_counts(rows.where(F.col("ruled").isNotNull()).select("url", F.col("ruled").alias("verdict")))
-    padded = F.concat(F.lit(_PAD * ORDER), F.coalesce("url", F.lit("")))
-    rows = rows.withColumns({"padded": padded, "n": F.length(F.coalesce("url", F.lit("")))})
-    rows = written(rows.withColumn("score", log_ratio(models, F.col("padded"), F.col("n"))).drop("padded", "n"), "url-scores")
+    # The key is written with the rows, so that every reader sees the same one.
+    rows = written(rows.withColumn("key", F.monotonically_increasing_id()), "url-rows")
+    ratios = gram_ratios(character_counts(rows.select("url", F.col("ruled").alias("verdict"))))
+    scores = written(log_ratio(rows, ratios), "url-scores")
+    rows = rows.join(scores, "key", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    rows = written(rows.drop("key"), "url-scored")
     good, bad = F.col("ruled") == "allow", F.col("ruled") == "block"
     stats = rows.agg(
         *[F.avg(F.when(c, F.col("score"))).alias(f"{n}_mean") for n, c in (("good", good), ("bad", bad))],

@@ -213,6 +213,38 @@ def test_url_scores_equal_brute_force(spark):
         assert r["verdict"] == ("block" if r["score"] < cut else "allow") or abs(r["score"] - cut) < 1e-6
 
 
+def test_url_verdicts_follow_exact_counts(spark):
+    """So many runs of characters that any fixed number of places would mix them."""
+    rng = random.Random(4)
+    syllable = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    one, two = ([syllable() for _ in range(400)] for _ in range(2))
+    kinds = [("a.org/", one), ("b.com/de/", two), ("c.net/", one), ("c.net/", two), ("c.net/", one + two)]
+    made = [f"http://{host}{''.join(rng.choices(of, k=6))}" for host, of in kinds for _ in range(600)]
+    found = {r["url"]: r for r in urls.filtered(spark.createDataFrame(list(enumerate(made)), "page_id long, url string"), queries.RULES).collect()}
+    grams = {v: Counter() for v in ("allow", "block")}
+    contexts = {v: Counter() for v in ("allow", "block")}
+    runs = lambda url: [("\x02" * 4 + url)[i : i + 5] for i in range(len(url))]
+    for url in made:
+        if verdict := brute_rule(url)[3]:
+            for g in runs(url):
+                grams[verdict].update(g[4 - k :] for k in range(5))
+                contexts[verdict].update(g[4 - k : 4] for k in range(5))
+
+    def log_p(verdict, g):
+        p = 1 / 256
+        for k in range(5):
+            p = (grams[verdict][g[4 - k :]] + urls.BACKOFF * p) / (contexts[verdict][g[4 - k : 4]] + urls.BACKOFF)
+        return np.log(p)
+
+    want = {u: np.mean([log_p("allow", g) - log_p("block", g) for g in runs(u)]) for u in made}
+    assert all(abs(found[u]["score"] - want[u]) < 1e-9 for u in made)
+    good, bad = ([want[u] for u in made if brute_rule(u)[3] == v] for v in ("allow", "block"))
+    cut = (np.mean(good) * np.std(bad) + np.mean(bad) * np.std(good)) / (np.std(good) + np.std(bad))
+    unruled = [u for u in made if brute_rule(u)[3] is None]
+    assert {found[u]["verdict"] for u in unruled} == {"allow", "block"}
+    assert all(found[u]["verdict"] == ("block" if want[u] < cut else "allow") or abs(want[u] - cut) < 1e-6 for u in unruled)
+
+
 def test_urls_of_nothing_and_without_training(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string")
     assert urls.filtered(pages.limit(0), queries.RULES).count() == 0
