@@ -1,26 +1,27 @@
-"""Quality rules on columns: simple counts, and a hashed n-gram test.
+"""Quality rules on columns: simple counts, and an n-gram test.
 
-The test compares two multinomials over hashed words and word pairs: trusted
-documents and the whole corpus. A text's score is the mean over its n-grams of
+The test compares two multinomials over words and word pairs: trusted documents
+and the whole corpus. A text's score is the mean over its n-grams of
 log(p_trusted / p_corpus); texts under a fixed threshold are dropped. Corpus
-counts cover every document; the trusted side is a bounded, repeatable sample
-of the documents that are marked good."""
+counts cover every document, trusted counts every document that is marked good.
+Both lie in a table by n-gram that grows with the corpus; the n-grams of each
+text join it."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscore.llm.storage import content_words, number_array, written
+from shelfscore.llm.storage import content_words, written
 
-BUCKETS = 1 << 15
-TRUSTED_ROWS = 50_000
+# An n-gram is counted under its whole 64-bit hash.
+BUCKETS = 1 << 64
 THRESHOLD = -0.1
-# N-grams per bucket, on average, of the corpus that the trusted counts are
-# mixed with, so that a small sample does not condemn what it happens to lack.
-PRIOR = 10.0
+# N-grams of the corpus that the trusted counts are mixed with, so that they do
+# not condemn what they happen to lack: as many per trusted n-gram, and so many
+# by place of the hash (327,680 in all) at least.
+PRIOR_PER_TRUSTED = 4.0
+PRIOR = 327_680 / BUCKETS
 WINDOW = 5
 # Marks that count as symbols, and white space.
 SYMBOLS = "#*$%&|<>"
@@ -78,37 +79,55 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def gram_buckets(words: str, buckets: int) -> Column:
-    """The hash buckets of all words and word pairs of a text."""
+def gram_buckets(words: str, buckets: int = BUCKETS) -> Column:
+    """The hashes of all words and word pairs of a text; with fewer than all
+    64-bit places they are folded, and n-grams get mixed."""
     row = F.col(words)
-    ones = F.transform(row, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+    ones = F.transform(row, lambda w: F.xxhash64(w))
     firsts = F.slice(row, F.lit(1), F.greatest(F.size(row) - 1, F.lit(0)))
-    twos = F.transform(firsts, lambda w, i: F.pmod(F.xxhash64(w, F.get(row, i + 1)), F.lit(buckets)).cast("int"))
-    return F.concat(ones, twos)
+    twos = F.transform(firsts, lambda w, i: F.xxhash64(w, F.get(row, i + 1)))
+    grams = F.concat(ones, twos)
+    return grams if buckets >= BUCKETS else F.transform(grams, lambda h: F.pmod(h, F.lit(buckets)))
+
+
+def _log_ratio(trusted: Column, corpus: Column, n: int, m: int) -> Column:
+    """log(p_trusted / p_corpus) in millionths, of n and m n-grams in all."""
+    prior = max(PRIOR * BUCKETS, PRIOR_PER_TRUSTED * m)
+    n, m = max(1, n), max(1, m)
+    return F.round(1e6 * F.log((trusted / (corpus / F.lit(float(n))) + prior) / F.lit(m + prior))).cast("long")
+
+
+def gram_ratios(docs: DataFrame, trusted: DataFrame, n: int, m: int) -> DataFrame:
+    """(gram, ratio) of every n-gram that occurs more than once. docs is (id,
+    text), trusted a table of ids of any length."""
+    marks = trusted.select(F.col("id").alias("trusted_id"))
+    rows = docs.join(marks, F.col("id") == F.col("trusted_id"), "left")
+    rows = rows.select(F.col("trusted_id").isNotNull().cast("int").alias("t"), content_words(F.col("text")).alias("words"))
+    grams = rows.select("t", F.explode(gram_buckets("words")).alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted")).where("corpus > 1")
+    return written(counts.select("gram", _log_ratio(F.col("trusted"), F.col("corpus"), n, m).alias("ratio")), "gram-ratios")
+
+
+def gram_sums(docs: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(key, total, alone, n_grams) by text: the sum of its known ratios and how
+    many of its n-grams occur nowhere else and have none."""
+    rows = docs.select(text_key(), content_words(F.col("text")).alias("words"))
+    met = rows.select("key", F.explode(gram_buckets("words")).alias("gram")).join(ratios, "gram", "left")
+    sums = met.groupBy("key").agg(
+        F.coalesce(F.sum("ratio"), F.lit(0)).alias("total"), F.count_if(F.col("ratio").isNull()).alias("alone"), F.count("*").alias("n_grams")
+    )
+    return written(sums, "gram-sums")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS) -> list[int]:
-    """log(p_trusted / p_corpus) by bucket, in millionths.
+def text_key() -> Column:
+    """Equal texts have equal scores and are scored under one key."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
 
-    trusted is a table of ids of TRUSTED_ROWS rows at most."""
-    marks = F.broadcast(trusted.select(F.col("id").alias("trusted_id")).distinct())
-    rows = docs.select(F.col(id_col).alias("id"), content_words(F.col(text_col)).alias("words"))
-    rows = rows.join(marks, F.col("id") == F.col("trusted_id"), "left")
-    grams = rows.select(F.col("trusted_id").isNotNull().cast("int").alias("t"), F.explode(gram_buckets("words", buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted"))
-    # One row per bucket at any size of the input.
-    found = {r["bucket"]: (r["corpus"], r["trusted"]) for r in counts.collect()}
-    corpus, good = (max(1, sum(c[k] for c in found.values())) for k in (0, 1))
-    prior = PRIOR * buckets
-    # By bucket: its share of the corpus, and of the trusted n-grams with prior.
-    shares = ((c / corpus, t) for c, t in (found.get(b, (0, 0)) for b in range(buckets)))
-    return [round(1e6 * math.log((t / p + prior) / (good + prior))) if p else 0 for p, t in shares]
 
-
-def trusted_sample(labels: DataFrame, id_col: str, quality_col: str, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of trusted documents: the first `rows` by a hash of the id."""
-    good = labels.where((F.col(quality_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    return written(good.orderBy(F.xxhash64("id"), "id").limit(rows), "trusted")
+def trusted_ids(labels: DataFrame, id_col: str, quality_col: str) -> DataFrame:
+    """Ids of all documents that are marked good."""
+    good = labels.where((F.col(quality_col) == 1) & F.col(id_col).isNotNull())
+    return written(good.select(F.col(id_col).alias("id")).distinct(), "trusted")
 
 
 def judged(
@@ -120,13 +139,21 @@ def judged(
     base rules. Without trusted documents every score is about 0. Repeated rows get equal verdicts. Null labels and labels of a null id
     are not read. An empty table gives an empty result. Other columns of the
     input are not read."""
-    ratios = log_ratios(docs, trusted_sample(labels, id_col, quality_col), id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("words", content_words(F.col("text")))
-    rows = base_counts(rows, F.col("text"), "words").withColumn("grams", gram_buckets("words", BUCKETS))
-    table = number_array(ratios)
-    total = F.aggregate("grams", F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
-    mean = total / (F.size("grams") * F.lit(1e6))
-    rows = rows.withColumn("score", F.when(F.size("grams") > 0, mean).otherwise(F.lit(0.0)))
+    trusted = trusted_ids(labels, id_col, quality_col)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = docs.withColumn("words", content_words(F.col("text")))
+    rows = written(base_counts(rows, F.col("text"), "words").select("id", text_key(), *counts), "base-counts")
+    marks = trusted.select(F.col("id").alias("trusted_id"))
+    rows = rows.join(marks, F.col("id") == F.col("trusted_id"), "left")
+    rows = written(rows.withColumn("trusted", F.col("trusted_id").isNotNull().cast("int")).drop("trusted_id"), "marked")
+    # As many words and one pair less.
+    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
+    sizes = rows.agg(F.sum(grams).alias("n"), F.sum(grams * F.col("trusted")).alias("m")).first()
+    n, m = sizes["n"] or 0, sizes["m"] or 0
+    sums = gram_sums(docs, gram_ratios(docs, trusted, n, m))
+    # What occurs once in the corpus is trusted if its only row is.
+    rows = rows.join(sums, "key", "left").withColumn("once", _log_ratio(F.col("trusted"), F.lit(1), n, m))
+    mean = (F.col("total") + F.col("alone") * F.col("once")) / (F.col("n_grams") * F.lit(1e6))
+    rows = rows.withColumn("score", F.coalesce(mean, F.lit(0.0)))
     return rows.select("id", *counts, "score", base_failed().alias("base_failed"), (~base_failed() & (F.col("score") >= threshold)).alias("kept"))

@@ -132,6 +132,28 @@ def test_ratios_equal_brute_force(spark, cases, good):
         assert r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
 
 
+def test_quality_scores_follow_exact_counts(spark, cases, good):
+    """The 20,000 words of one text fill any small number of places."""
+    texts = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in cases.select("doc_id", "text").collect()]
+    grams = [(i, [*words, *zip(words, words[1:], strict=False)]) for i, words in texts]
+    corpus, trusted = (Counter(g for i, own in grams if all_ or i in (0, 9) for g in own) for all_ in (True, False))
+    n, m = sum(corpus.values()), sum(trusted.values())
+    want = {i: np.mean([np.log((trusted[g] / (corpus[g] / n) + 327_680) / (m + 327_680)) for g in own]) if own else 0 for i, own in grams}
+    for r in quality.judged(cases, good).where("id is not null").collect():
+        assert abs(r["score"] - want[r["id"]]) < 1e-6
+
+
+@pytest.mark.parametrize("share", [4, 1])
+def test_junk_of_held_out_labels_goes_at_two_sizes(spark, share):
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    held = toxicity.held_out("doc_id")
+    found = written(quality.judged(docs, labels.where(~held)), "judged").join(labels.where(held), F.col("id") == F.col("doc_id"))
+    found = found.where("not base_failed and quality = 0").agg(F.avg(F.col("kept").cast("int")), F.count("*")).first()
+    assert found[1] > 10 and found[0] < 0.1
+
+
 def test_junk_goes_and_clean_text_stays(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("doc_id", "id")
