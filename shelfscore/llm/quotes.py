@@ -2,8 +2,8 @@
 
 A line's quote level is the number of marks it begins with. Neighbouring lines
 of one level make a passage; its white space and case are normalised and it is
-hashed. Own passages (level 0) of earlier messages are the originals. A message
-answers the original that most of its passages of level 1 come from; deeper
+hashed. Own passages (level 0) of earlier messages are the originals, and a
+quote belongs to the latest of them before it. A message answers the original that most of its passages of level 1 come from; deeper
 levels must not decide. Conversations follow from the answers."""
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfscore.llm.storage import bounded_batches, written
@@ -65,16 +66,38 @@ def _parsed(messages: DataFrame) -> DataFrame:
     return messages.mapInArrow(parse, f"{keys}, own_text string, quoted array<struct<level:int,hash:bigint>>")
 
 
+def _originals(parts: DataFrame) -> DataFrame:
+    """Quotes (id, level) with the latest original (at, original) before them.
+
+    Originals and quotes of a passage stand in one sequence by position, quotes
+    first where positions are equal. Sequences are cut into ranges, so that a
+    passage in very many messages spreads over tasks; the last original of the
+    ranges before is carried over. A cut parts one sequence at most, so there
+    are no more rows to carry than ranges."""
+    known = parts.where("position is not null")
+    own = known.where("level = 0").groupBy("thread", "hash", "position").agg(F.min("id").alias("original"))
+    own = own.select("thread", "hash", "position", F.lit(1).alias("kind"), F.struct(F.col("position").alias("at"), "original").alias("o"))
+    rows = known.where("level > 0").select("thread", "hash", "position", F.lit(0).alias("kind"), "id", "level")
+    rows = rows.unionByName(own, allowMissingColumns=True)
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(tasks, "thread", "hash", "position").withColumn("part", F.spark_partition_id())
+    rows = written(rows, "sequences")
+    ends = rows.groupBy("thread", "hash", "part").agg(F.max("o").alias("end"))
+    before = W.partitionBy("thread", "hash").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.withColumn("carried", F.last("end", ignorenulls=True).over(before)).where("carried is not null")
+    carried = written(carried.select(F.col("thread").alias("t"), F.col("hash").alias("h"), F.col("part").alias("p"), "carried"), "carried")
+    upto = W.partitionBy("part", "thread", "hash").orderBy("position", "kind").rowsBetween(W.unboundedPreceding, 0)
+    met = rows.withColumn("last", F.last("o", ignorenulls=True).over(upto)).where("kind = 0")
+    same = met["thread"].eqNullSafe(carried["t"]) & (met["hash"] == carried["h"]) & (met["part"] == carried["p"])
+    met = met.join(carried, same, "left").withColumn("last", F.coalesce("last", "carried")).where("last is not null")
+    return met.select("id", "level", "last.original", "last.at")
+
+
 def _answers(parsed: DataFrame) -> DataFrame:
     """(id, reply_to, n_linked): the original that each message quotes."""
     parts = parsed.select("id", "thread", "position", F.explode("quoted").alias("q"))
     parts = parts.select("id", "thread", "position", F.col("q.level").alias("level"), F.col("q.hash").alias("hash"))
-    # One original per passage, the earliest, so that no passage makes pairs.
-    own = parts.where("level = 0").groupBy("thread", "hash").agg(F.min(F.struct("position", "id")).alias("o"))
-    own = own.select(F.col("thread").alias("t"), F.col("hash").alias("h"), F.col("o.position").alias("at"), F.col("o.id").alias("original"))
-    own = written(own, "originals")
-    quotes = parts.where("level > 0")
-    met = quotes.join(own, quotes["thread"].eqNullSafe(own["t"]) & (quotes["hash"] == own["h"])).where(F.col("at") < F.col("position"))
+    met = _originals(parts)
     votes = met.groupBy("id", "level", "original", "at").agg(F.count("*").alias("votes"))
     # A message has few levels; the nearest level that is linked names its parent.
     best = votes.groupBy("id").agg(
@@ -115,7 +138,7 @@ def linked(messages: DataFrame, id_col: str, thread_col: str | None, position_co
     position; without a thread column, in all messages.
 
     Defined cases: a null text has no passages. A null thread is a thread of its
-    own. Of equal originals the earliest is quoted, with ties by id. A message
+    own. Of equal originals the latest before the quote is meant, with ties by id. A message
     of a null position neither answers nor is answered. Repeated rows are one
     message and come out as often as they went in. A row without an id keeps its
     text and has no conversation. An empty table gives an empty result. Other

@@ -319,6 +319,20 @@ def test_long_chains_of_replies(spark):
     assert all((r["conversation"], r["depth"]) == (0, r["id"]) for r in found) and len(found) == 200
 
 
+def test_a_quote_belongs_to_the_latest_original(spark):
+    """One long thread in which everybody says the same now and then, so the
+    sequence of that passage is cut into several ranges."""
+    mails = [(k, k, f"mail {k}" if k % 7 else "Thanks") for k in range(300)]
+    mails += [(1000 + k, k, f"own {k}\n\n> thanks") for k in range(300)]
+    df = spark.createDataFrame(mails, "m long, p long, text string").withColumn("t", F.lit(None).cast("long"))
+    found = {r["id"]: (r["reply_to"], r["n_linked"]) for r in quotes.linked(df, "m", "t", "p", "text").collect()}
+    assert len(found) == 600
+    for k in range(300):
+        # Strictly before: at its own position a quote means the one before that.
+        want = (k - 1) // 7 * 7
+        assert found[1000 + k] == ((want, 1) if k else (None, 0))
+
+
 def test_conversation_quotes_equal_brute_force(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
     texts = {(r["conv_id"], r["turn"]): r["text"] or "" for r in turns}
