@@ -13,8 +13,9 @@ from shelfscore.plans.registry import registered
 from shelfscore.sources import tables
 from shelfscore.sources.scratch import written
 
-# High enough that the heavier columns are thinned on small tables as well.
-DIMSUM_THRESHOLD = 50.0
+# A cosine: pairs of at least this similarity are kept well. Columns as heavy as
+# those of small tables are then kept whole.
+DIMSUM_THRESHOLD = cosine.SAMPLING_THRESHOLD
 BUNDLE_JACCARD = 0.5
 DOCUMENT_JACCARD = 0.3
 

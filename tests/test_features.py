@@ -106,6 +106,22 @@ def test_sampled_column_cosine_is_close_and_repeats(spark):
         assert again[(i, j)] == pytest.approx(sim)
 
 
+def test_registered_threshold_is_a_cosine_and_thins_heavy_columns(spark):
+    from shelfscore.plans.feature_queries import DIMSUM_THRESHOLD
+
+    assert DIMSUM_THRESHOLD == cosine.SAMPLING_THRESHOLD == 0.1
+    rng = np.random.default_rng(7)
+    dense = (rng.random((4000, 6)) < 0.5).astype(float)
+    entries = [(int(i), int(j), 1.0) for i, j in zip(*np.nonzero(dense))]
+    frame = spark.createDataFrame(entries, "id long, index int, value double")
+    want = column_cosines(dense)
+    # gamma = 10 ln(6) / 0.1 = 179 thins columns of norm 45.
+    found = {(r["i"], r["j"]): r["sim"] for r in cosine.column_cosine_dimsum(frame, 6, DIMSUM_THRESHOLD).collect()}
+    assert len(found) == 15
+    for (i, j), sim in found.items():
+        assert sim == pytest.approx(want[i, j], rel=0.5) and sim != pytest.approx(want[i, j], rel=1e-9)
+
+
 def test_sampling_keeps_light_columns_whole(spark):
     _, entries = matrix(spark)
     exact = {(r["i"], r["j"]): r["sim"] for r in cosine.column_cosine_exact(entries).collect()}
