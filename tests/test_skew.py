@@ -138,13 +138,18 @@ def long_conversation(spark):
 
 
 def plans_of_run(spark, run):
-    """The adapted plans of all queries that a call starts, written ones too."""
+    """The adapted plans of all queries that a call starts, written ones too.
+    Executions are told apart by id, as the store keeps only the latest ones."""
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def executions():
+        found = store.executionsList()
+        return [found.apply(k) for k in range(found.size())]
+
+    before = max((e.executionId() for e in executions()), default=-1)
     out = run()
     out.write.format("noop").mode("overwrite").save()
-    found = store.executionsList(int(before), 1000)
-    return [found.apply(k).physicalPlanDescription() for k in range(found.size())], out
+    return [e.physicalPlanDescription() for e in executions() if e.executionId() > before], out
 
 
 def test_hot_product_is_split_in_the_training_view(spark, tiny_partitions, long_conversation):

