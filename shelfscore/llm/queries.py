@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscore.llm import exact, minhash, mixing, packing, quality, quotes, substring, toxicity, urls, warc
+from shelfscore.llm import exact, fim, html, minhash, mixing, packing, quality, quotes, spelling, substring, toxicity, urls, warc
 from shelfscore.llm.sql import SQL
 from shelfscore.llm.storage import read, written
 
@@ -129,6 +129,18 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_main_text(read(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -140,4 +152,7 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_packing": op9_packing,
     "op10_exact": op10_exact,
+    "op11_html": op11_html,
+    "op12_spelling": op12_spelling,
+    "op13_fim": op13_fim,
 }

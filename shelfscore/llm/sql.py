@@ -72,4 +72,28 @@ with t as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from t join g using (t)
 """
 
-SQL = {"op1_warc": OP1, "op6_minhash": OP6, "op8_substring": OP8, "op10_exact": OP10}
+OP13 = """
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents
+), c as (
+  select doc_id, t, cast(length(t) as bigint) as n,
+    ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+    ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+  from d
+), f as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from c
+)
+select doc_id, n, form,
+  case when form <> 'plain' then a end as prefix_chars,
+  case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t
+    when 'psm' then '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    else '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) end) as output_sha256,
+  sha256(t) as restored_sha256
+from f
+"""
+
+SQL = {"op1_warc": OP1, "op6_minhash": OP6, "op8_substring": OP8, "op10_exact": OP10, "op13_fim": OP13}
