@@ -24,7 +24,7 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     cleaned = []
     for column in columns:
         values = frame[column].tolist()
-        cleaned.append([None if v is None or (isinstance(v, float) and math.isnan(v)) else v for v in values])
+        cleaned.append([None if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)) else v for v in values])
     return sorted(zip(*cleaned), key=repr)
 
 
