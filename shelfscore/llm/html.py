@@ -265,6 +265,12 @@ LABELLED_PAGES = [
 <p>Collect rain in a barrel for the garden and water plants in the cool of the evening.</p></article>
 <div class="wrap"><p>Posted by the editors in Home and Living.</p><p>Skip to the top of the page</p></div>
 <div class="tags"><a href="/t/water">water</a> <a href="/t/home">home</a></div></body></html>""",
+    """<html><body><div data-label="main"><p>A plain page of notes kept by hand, with one long paragraph and no
+markup around it at all, which is how many old pages and simple exports look when they are fetched today.</p></div></body></html>""",
+    """<html><body><div>Site of the town library</div><div><a href="/hours">Opening hours</a></div>
+<div data-label="main"><p>The library will close early on Friday, as the staff move the old books into the new
+wing that opened last month on the north side of the square.</p><p>Returns can be left in the box by the door
+during the move, and no fines will be charged for the week.</p></div></body></html>""",
 ]
 
 # Split settings of the tree; small, as the labelled table is small.
