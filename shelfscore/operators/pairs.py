@@ -9,13 +9,14 @@ overlap enough must meet in the first few elements of a common order."""
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil, log
+from math import ceil, log, pi
 from operator import and_
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, MinHashLSH
+from pyspark.ml.feature import MinHashLSH
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscore.functions.sampling import RANGE, key_hash
 from shelfscore.functions.vectors import vector_entries, vector_indices
 from shelfscore.operators.features import BUCKETS, attach_vector, fold
 from shelfscore.sources.scratch import lookup, written
@@ -298,17 +299,48 @@ def _rarest_first(sets: DataFrame) -> DataFrame:
     return rarity_ordered(elements).withColumnRenamed("id", "set_id")
 
 
-def projection_sets(counts: DataFrame, rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def gaussian(table: Column, index: Column, seed: int = SEED) -> Column:
+    """A standard normal number that depends on (seed, table, index) alone:
+    Box-Muller on two uniform numbers from the md5 of the key. Any task, and
+    SQL, computes the same projection vectors without storing them."""
+    first = (key_hash(F.lit(seed), table, index, F.lit(1)) + F.lit(0.5)) / F.lit(float(RANGE))
+    second = key_hash(F.lit(seed), table, index, F.lit(2)) / F.lit(float(RANGE))
+    return F.sqrt(F.lit(-2.0) * F.log(first)) * F.cos(F.lit(2 * pi) * second)
+
+
+def projection_norms(spark, size: int, tables: int = HASH_TABLES, seed: int = SEED) -> list[float]:
+    """Length of each table's projection vector over `size` indices; one
+    number per table reaches the driver."""
+    cells = spark.range(size).select(F.explode(F.sequence(F.lit(0), F.lit(tables - 1))).alias("t"), F.col("id").alias("i"))
+    g = gaussian(F.col("t"), F.col("i"), seed)
+    found = cells.groupBy("t").agg(F.sqrt(F.sum(g * g)).alias("norm")).collect()
+    return [r["norm"] for r in sorted(found, key=lambda r: r["t"])]
+
+
+def projection_hashes(entries: Column, norms: list[float], bucket_length: float = BUCKET_LENGTH, seed: int = SEED) -> Column:
+    """Bucket of a vector (array of (indices, values)) in each table:
+    floor(projection on the unit vector / bucket length), rounded to 9 places
+    first so that the order of the sum cannot move a bucket."""
+
+    def dot(t: int) -> Column:
+        return F.aggregate(entries, F.lit(0.0), lambda acc, e: acc + e["values"] * gaussian(F.lit(t), e["indices"], seed))
+
+    return F.array(*[F.floor(F.round(dot(t) / F.lit(norm) / F.lit(bucket_length), 9)) for t, norm in enumerate(norms)])
+
+
+def projection_sets(
+    counts: DataFrame, rows: DataFrame, seed: int = SEED, tables: int = HASH_TABLES, bucket_length: float = BUCKET_LENGTH
+) -> tuple[DataFrame, DataFrame]:
     """Collapsed count vectors with their random-projection buckets: (set_id,
-    copies, entries, hashes) and (id, set_id)."""
+    copies, entries, hashes) and (id, set_id). The projection vectors are
+    counter-based Gaussian numbers, so the buckets do not depend on a
+    generator's state, on partitioning or on the engine."""
     vectors = attach_vector(rows.select("id"), fold(counts, "id", BUCKETS), "features")
-    vectors = vectors.withColumn("entries", vector_entries(F.col("features")))
+    vectors = vectors.withColumn("entries", vector_entries(F.col("features"))).drop("features")
     digested = written(with_digest(vectors, F.col("entries")), "projection-rows")
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="lsh", bucketLength=BUCKET_LENGTH, numHashTables=HASH_TABLES, seed=seed
-    )
-    signed = _signatures(collapse(digested, "features", "entries"), lsh.fit(digested), "lsh")
-    return written(signed.drop("features"), "projection-sets"), members(digested)
+    norms = projection_norms(rows.sparkSession, BUCKETS, tables, seed)
+    signed = collapse(digested, "entries").withColumn("hashes", projection_hashes(F.col("entries"), norms, bucket_length, seed))
+    return written(signed, "projection-sets"), members(digested)
 
 
 def euclidean_lsh_join(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

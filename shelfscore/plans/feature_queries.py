@@ -446,7 +446,56 @@ def jaccard_lsh_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_distance(pairs.jaccard_lsh_join(sets, DOCUMENT_JACCARD))
 
 
-@registered("euclidean_lsh_join")
+def _euclidean_lsh_sql(ids: str, threshold: float = pairs.THRESHOLD) -> list[str]:
+    """CTEs from hashed(id, index, value) and ids(id): found(a, b, copies_a,
+    copies_b, distance) of collapsed vectors below the threshold that share a
+    counter-based projection bucket in one table, and groups."""
+    tables, size, seed = pairs.HASH_TABLES, features.BUCKETS, pairs.SEED
+
+    def uniform(k: int) -> str:
+        return f"('0x' || substr(md5('{seed}:' || t || ':' || i || ':{k}'), 1, 8))::bigint"
+
+    return [
+        f"ids as ({ids})",
+        """
+vecs as (
+  select d.id, coalesce(list(struct_pack(i := h.index, v := h.value) order by h.index) filter (where h.index is not null), [])
+    as content
+  from ids d left join hashed h on h.id = d.id group by d.id)""",
+        "groups as (select content, min(id) as set_id, count(*) as copies from vecs group by content)",
+        "parted as (select set_id as id, e.i as idx, e.v as val from (select set_id, unnest(content) as e from groups))",
+        "sizes as (select g.set_id as id, g.copies, coalesce(sum(p.val * p.val), 0) as norm from groups g left join parted p on p.id = g.set_id group by all)",
+        """
+dots as (
+  select x.id as a, y.id as b, sum(x.val * y.val) as dot from parted x join parted y on x.idx = y.idx and x.id < y.id group by all)""",
+        f"""
+gauss as (
+  select t, i, sqrt(-2 * ln(({uniform(1)} + 0.5) / {2**32}.0)) * cos(2 * pi() * {uniform(2)} / {2**32}.0) as g
+  from range({tables}) r(t), range({size}) s(i))""",
+        "gnorms as (select t, sqrt(sum(g * g)) as norm from gauss group by t)",
+        f"""
+proj as (
+  select g0.set_id as id, n.t, cast(floor(round(coalesce(sum(p.val * ga.g), 0) / n.norm / {pairs.BUCKET_LENGTH}, 9)) as bigint) as h
+  from groups g0 cross join gnorms n left join parted p on p.id = g0.set_id left join gauss ga on ga.t = n.t and ga.i = p.idx
+  group by g0.set_id, n.t, n.norm)""",
+        f"""
+found as (
+  select a.id as a, b.id as b, a.copies as copies_a, b.copies as copies_b,
+    sqrt(cast(a.norm + b.norm - 2 * coalesce(d.dot, 0) as double)) as distance
+  from sizes a join sizes b on a.id < b.id left join dots d on d.a = a.id and d.b = b.id
+  where a.norm + b.norm - 2 * coalesce(d.dot, 0) < {threshold * threshold}
+    and exists (select 1 from proj p join proj q on p.t = q.t and p.h = q.h where p.id = a.id and q.id = b.id)
+  union all select id, id, copies, copies, 0.0 from sizes)""",
+    ]
+
+
+@registered(
+    "euclidean_lsh_join",
+    S.query(
+        [*_DOC_HASHED, *_euclidean_lsh_sql("select product_uid as id from description_tokens")],
+        "select a, b, copies_a, copies_b, round(distance, 6) as distance from found",
+    ),
+)
 def euclidean_lsh_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, docs = document_counts(spark, sf_dir), inputs.documents(spark, sf_dir)
     sets, _ = pairs.projection_sets(counts, docs)
@@ -490,7 +539,25 @@ def euclidean_examples(spark: SparkSession, sf_dir: str, *labels: str, rows: Dat
     return pairs.labelled_distances(pairs.euclidean_lsh_join(sets), members, train if rows is None else rows, *labels)
 
 
-@registered("euclidean_pairs")
+@registered(
+    "euclidean_pairs",
+    S.query(
+        [
+            *HASHED_BUNDLE,
+            *_euclidean_lsh_sql("select id from train"),
+            "members as (select v.id, g.set_id from vecs v join groups g using (content))",
+            """
+oriented as (
+  select a, copies_b as partners, distance from found
+  union all select b, copies_a, distance from found where a <> b)""",
+        ],
+        """
+select relevance, distance, cast(sum(partners) as bigint) as pairs
+from (select t.relevance, round(b.distance, 6) as distance, b.partners
+      from oriented b join members m on m.set_id = b.a join train t on t.id = m.id)
+group by all""",
+    ),
+)
 def euclidean_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances and labels of bundle pairs within one projection bucket."""
     found = _rounded_distance(euclidean_examples(spark, sf_dir, "relevance"))
