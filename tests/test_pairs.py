@@ -1,12 +1,13 @@
 """Pair joins against brute force and against Spark's own LSH joins."""
 
+import hashlib
 import random
 from collections import Counter
 from itertools import combinations_with_replacement
-from math import sqrt
+from math import cos, floor, log, pi, sqrt
 
 import pytest
-from pyspark.ml.feature import BucketedRandomProjectionLSH, MinHashLSH
+from pyspark.ml.feature import MinHashLSH
 from pyspark.sql import functions as F
 
 from shelfscore.operators import features, pairs
@@ -118,20 +119,38 @@ def test_minhash_join_equals_library_join(spark, threshold):
     assert ours == library_pairs(lsh.fit(vectors), vectors, threshold)
 
 
-def test_projection_join_equals_library_join(spark):
-    rows, counts = hashed(spark, random_bags(5))
-    vectors = features.tf_hashed(rows)
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="tf_vector",
-        outputCol="h",
-        bucketLength=pairs.BUCKET_LENGTH,
-        numHashTables=pairs.HASH_TABLES,
-        seed=pairs.SEED,
-    )
+def counter_gaussian(t, i, k=None):
+    def uniform(k):
+        return int(hashlib.md5(f"{pairs.SEED}:{t}:{i}:{k}".encode()).hexdigest()[:8], 16)
+
+    return sqrt(-2 * log((uniform(1) + 0.5) / 2**32)) * cos(2 * pi * uniform(2) / 2**32)
+
+
+def test_projection_join_equals_brute_force(spark):
+    """Pairs below the threshold that share a bucket of the counter-based
+    projections in one table, all computed here in plain Python."""
+    bags = random_bags(5)
+    rows, counts = hashed(spark, bags)
+    vectors = {r["id"]: dict(zip(r["index"], r["value"])) for r in counts.groupBy("id").agg(
+        F.collect_list("index").alias("index"), F.collect_list("value").alias("value")).collect()}
+    norms = [sqrt(sum(counter_gaussian(t, i) ** 2 for i in range(features.BUCKETS))) for t in range(pairs.HASH_TABLES)]
+    used = {i for v in vectors.values() for i in v}
+    g = {(t, i): counter_gaussian(t, i) for t in range(pairs.HASH_TABLES) for i in used}
+
+    def buckets(v):
+        return [floor(round(sum(x * g[(t, i)] for i, x in sorted(v.items())) / norms[t] / pairs.BUCKET_LENGTH, 9)) for t in range(pairs.HASH_TABLES)]
+
+    sig = {i: buckets(vectors.get(i, {})) for i in bags}
+    want = {}
+    for a in bags:
+        for b in bags:
+            va, vb = vectors.get(a, {}), vectors.get(b, {})
+            d = sqrt(sum((va.get(k, 0) - vb.get(k, 0)) ** 2 for k in set(va) | set(vb)))
+            if d < pairs.THRESHOLD and any(x == y for x, y in zip(sig[a], sig[b])):
+                want[(a, b)] = round(d, 9)
+    assert pairs.projection_norms(spark, features.BUCKETS) == pytest.approx(norms, rel=1e-12)
     sets, members = pairs.projection_sets(counts, rows)
-    ours = expanded(spark, sets, members, pairs.euclidean_lsh_join(sets))
-    theirs = library_pairs(lsh.fit(vectors), vectors, pairs.THRESHOLD)
-    assert ours == theirs
+    assert expanded(spark, sets, members, pairs.euclidean_lsh_join(sets)) == want
 
 
 def test_counted_examples_stand_for_all_row_pairs(spark):
