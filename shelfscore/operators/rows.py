@@ -55,3 +55,35 @@ def train_test_split(df: DataFrame, *keys: str, share: float = 0.7) -> DataFrame
     """Adds part = train or test by key hash, whatever the partitioning."""
     drawn = unit_hash(*[F.col(k) for k in keys])
     return df.withColumn("part", F.when(drawn < share, "train").otherwise("test"))
+
+
+def flatten_in_order(df: DataFrame, key: str, order: list[str], items: Column) -> DataFrame:
+    """(key, place, item): the item lists of each key's rows one after the
+    other, rows in `order`, places from 0, without gathering a key's rows.
+
+    Rows are range-partitioned by (key, order) and written once. Each range
+    sums its rows' list sizes per key; a key's ranges add the sums of its
+    earlier ranges (there are as many sums as ranges and keys in them), and a
+    row adds the sizes of the earlier rows of its range. A key as large as a
+    third of the table spreads over a third of the ranges. Rows equal in key
+    and order are ordered by a digest of their items; equal rows give the same
+    items whichever comes first. A null list counts as empty."""
+    listed = F.coalesce(items, F.array().cast("array<string>"))
+    rows = df.select(F.col(key).alias("_key"), *order, listed.alias("_items"))
+    rows = rows.withColumns({"_n": F.size("_items"), "_tie": F.sha2(F.concat_ws("\u0001", "_items"), 256)})
+    ranged = rows.repartitionByRange("_key", *order, "_tie").withColumn("_range", F.spark_partition_id())
+    stored = written(ranged, "ordered-rows")
+    sums = stored.groupBy("_range", "_key").agg(F.sum("_n").alias("_sum"))
+    earlier = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        F.col("_range").alias("_r"), F.col("_key").alias("_k"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
+    )
+    inside = Window.partitionBy("_range", "_key").orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    started = stored.withColumn("_start", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    # A null key is a key of its own.
+    same = (F.col("_range") == F.col("_r")) & F.col("_key").eqNullSafe(F.col("_k"))
+    started = started.join(offsets, same, "left")
+    placed = started.select("_key", "_offset", "_start", F.posexplode("_items").alias("_pos", "item"))
+    return placed.select(
+        F.col("_key").alias(key), (F.col("_offset") + F.col("_start") + F.col("_pos")).cast("long").alias("place"), "item"
+    )

@@ -178,6 +178,29 @@ def flatten_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bags.count_terms(texts, "lang", tokens=text.regex_tokenize(F.col("text")))
 
 
+@registered(
+    "flatten_tokens_ordered",
+    f"""
+with t as (
+  select lang, doc_id, coalesce({S.tokens("text")}, []) as tokens from documents
+), c as (
+  select *, sha256(array_to_string(tokens, chr(1))) as tie,
+    row_number() over (partition by lang, doc_id, sha256(array_to_string(tokens, chr(1)))) as copy
+  from t
+), k as (
+  select lang, doc_id, tie, copy, unnest(tokens) as token, generate_subscripts(tokens, 1) as pos from c
+)
+select lang, cast(row_number() over (partition by lang order by doc_id, tie, copy, pos) - 1 as bigint) as place, token
+from k""",
+)
+def flatten_tokens_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token lists of each language flattened into one list in doc_id
+    order: (lang, place, token), places from 0."""
+    texts = tables.table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    found = rows.flatten_in_order(texts, "lang", ["doc_id"], text.regex_tokenize(F.col("text")))
+    return found.withColumnRenamed("item", "token")
+
+
 # ---- composite text pipelines ----------------------------------------------
 
 
@@ -264,6 +287,29 @@ def collect_text_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bags.collect_text_by_key(tables.attributes(spark, sf_dir), "product_uid", F.concat_ws(" ", "name", "value"))
 
 
+@registered(
+    "collect_text_by_key_ordered",
+    """
+with a as (
+  select p_partkey as product_uid, 0 as attr, 'brand ' || p_brand as text from part
+  union all select p_partkey, 1, 'type ' || p_type from part
+  union all select p_partkey, 2, 'size ' || cast(p_size as varchar) from part
+), c as (
+  select *, sha256(coalesce(text, '')) as tie, row_number() over (partition by product_uid, attr, text) as copy from a
+)
+select product_uid, cast(row_number() over (partition by product_uid order by attr, tie, copy) - 1 as bigint) as place, text
+from c""",
+)
+def collect_text_by_key_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of a product as one list in attribute order (brand, type,
+    size): (product_uid, place, text), places from 0."""
+    attributes = tables.attributes(spark, sf_dir)
+    attr = F.when(F.col("name") == "brand", 0).when(F.col("name") == "type", 1).otherwise(2)
+    texts = attributes.select("product_uid", attr.alias("attr"), F.concat_ws(" ", "name", "value").alias("text"))
+    found = rows.flatten_in_order(texts, "product_uid", ["attr"], F.array("text"))
+    return found.withColumnRenamed("item", "text")
+
+
 @registered(
     "count_rows",
     S.query(S.FULL_BUNDLE, "select count(*) as n_rows, count(distinct id) as n_ids from bundle"),
