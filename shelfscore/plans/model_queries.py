@@ -58,6 +58,33 @@ def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(models.predict(model, data.where(F.col("part") == "test")))
 
 
+_SGD = f"""
+sgd(it, w, stop) as (
+  select 0, 0.0::double, false
+  union all
+  select it + 1, nw, it + 1 > 1 and abs(nw - w) < {models.SGD_TOLERANCE} * greatest(abs(nw), 1.0)
+  from (
+    select it, w, w - {models.SGD_STEP} / sqrt(it + 1)
+      * (select sum((e.x * s.w - e.label) * e.x) / count(*) from examples e where e.part = 'train') as nw
+    from sgd s where not stop and it < {models.SGD_ROUNDS}))"""
+
+
+@registered(
+    "linear_regression_sgd",
+    "with recursive"
+    + S.query(
+        [*_EXAMPLES, _SGD],
+        "select id, label, round(x * (select w from sgd order by it desc limit 1), 6) as prediction from examples where part = 'test'",
+    ).removeprefix("with"),
+)
+def linear_regression_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relevance from the cosine by the reference's solver: gradient descent,
+    100 rounds, step 1 / sqrt(round), no intercept."""
+    data = cosine_examples(spark, sf_dir)
+    (w,) = models.gradient_descent(data.where(F.col("part") == "train"), 1)
+    return data.where(F.col("part") == "test").select("id", "label", F.round(F.col("x") * F.lit(w), 6).alias("prediction"))
+
+
 @registered(
     "predict",
     S.query(_EXAMPLES, f"select id, label, part, round(x * {_SLOPE}, 6) as prediction from examples"),
