@@ -56,12 +56,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replies(conversations: DataFrame) -> DataFrame:
     """Conversations as mail: every turn quotes the one before it, which itself
-    quotes the one before that."""
+    quotes the one before that. Repeated rows of one (conv_id, turn) stay rows
+    of their own; a later turn quotes one text of them, the smallest, so no row
+    is multiplied."""
     text = F.coalesce("text", F.lit(""))
     turns = conversations.select("conv_id", "turn", text.alias("own"))
+    quotable = turns.groupBy("conv_id", "turn").agg(F.min("own").alias("own"))
 
     def back(n: int) -> DataFrame:
-        return turns.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("own").alias(f"own{n}"))
+        return quotable.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("own").alias(f"own{n}"))
 
     def quoted(of: str, mark: str) -> Column:
         return F.concat(F.lit("\n\n"), F.regexp_replace(of, "(?m)^", mark))

@@ -350,3 +350,16 @@ def test_conversation_quotes_equal_brute_force(spark, sf_dir):
                     break
         want = max(votes, key=lambda k: (votes[k], k)) if votes else None
         assert r["reply_to"] == (None if want is None else f"{c}-{want}")
+
+
+def test_repeated_turns_are_not_multiplied(spark, tmp_path):
+    """3 turns, each 30 times: 90 rows in, 90 rows out."""
+    from shelfscore.llm import queries
+
+    rows = [(7, t, "user", f"turn number {t} says hello") for t in range(3) for _ in range(30)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    mails = queries.replies(spark.read.parquet(str(tmp_path / "conversations.parquet")))
+    assert mails.count() == 90
+    found = queries.op4_quotes(spark, str(tmp_path))
+    assert found.count() == 90
+    assert {r["reply_to"] for r in found.where("turn = 2").collect()} == {"7-1"}
