@@ -8,6 +8,7 @@ of labelled rows; scoring reads every whole text where it lies."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +25,17 @@ from shelfscore.llm.storage import bounded_batches, written
 TOXIC_ROWS = 6_000
 OTHER_ROWS = 14_000
 # Terms in the model: those that tell the labels apart best in the sample.
+# How many, and how many passes, is chosen on an inner fold of the training
+# rows among these sizes (no more than TERMS_PER_TOXIC per toxic row seen) and
+# up to EPOCHS passes; the held-out fold is never looked at.
 TERMS = 16_384
+TERM_CHOICES = (64, 128, 256, 512, 1_024, 2_048, 4_096, 8_192, 16_384)
+TERMS_PER_TOXIC = 8
 FACTORS = 6
 EPOCHS = 12
 FOLDS = 5
+# One training row in INNER_FOLDS, by a hash of its id, judges the choices.
+INNER_FOLDS = 4
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -68,7 +76,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def _telling(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+def _telling(docs: list[np.ndarray], toxic: np.ndarray, terms: int = TERMS) -> np.ndarray:
     """The terms with the largest chi-square statistic against the label."""
     known, counts = np.unique(np.concatenate(docs), return_counts=True)
     known, counts = known[counts >= 3], counts[counts >= 3]
@@ -80,24 +88,33 @@ def _telling(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
         hits[at[known[at] == found]] += 1
     rate = max(toxic.mean(), 1e-9)
     chi = (hits - counts * rate) ** 2 / (counts * rate * (1 - rate) + 1e-9)
-    best = np.lexsort((known, -chi))[:TERMS]
+    best = np.lexsort((known, -chi))[:terms]
     return np.sort(known[best])
 
 
-def fit(docs: list[np.ndarray], toxic: np.ndarray, row_weight: np.ndarray, seed: int = 5) -> Machine:
-    """Logistic loss, small batches, step sizes adapted to each parameter."""
+def fit(
+    docs: list[np.ndarray],
+    toxic: np.ndarray,
+    row_weight: np.ndarray,
+    seed: int = 5,
+    terms: int = TERMS,
+    epochs: int = EPOCHS,
+    after_epoch=None,
+) -> Machine:
+    """Logistic loss, small batches, step sizes adapted to each parameter.
+    after_epoch(machine, epoch) is called after each pass."""
     rng = np.random.default_rng(seed)
     rate = (float(toxic @ row_weight) + 0.5) / (float(row_weight.sum()) + 2)
     bias = float(np.log(rate / (1 - rate)))
     if not len(docs) or toxic.min() == toxic.max():
         return Machine(bias, np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, FACTORS)))
-    known = _telling(docs, toxic)
+    known = _telling(docs, toxic, terms)
     machine = Machine(bias, known, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
     places = [machine.places(d) for d in docs]
     slow = [np.zeros_like(machine.weight), np.zeros_like(machine.vectors)]
     fast = [np.zeros_like(machine.weight), np.zeros_like(machine.vectors)]
     step = 0
-    for _ in range(EPOCHS):
+    for epoch in range(1, epochs + 1):
         order = rng.permutation(len(docs))
         for k in range(0, len(order), 256):
             rows = order[k : k + 256]
@@ -123,9 +140,43 @@ def fit(docs: list[np.ndarray], toxic: np.ndarray, row_weight: np.ndarray, seed:
                 size = 0.02 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                 parameter -= size * m / (np.sqrt(s) + 1e-8)
             machine.bias -= 0.05 * float(error.sum())
+        if after_epoch is not None:
+            after_epoch(machine, epoch)
     return machine
 
 
+def _loss(machine: Machine, docs: list[np.ndarray], toxic: np.ndarray, row_weight: np.ndarray) -> tuple[float, float]:
+    """Weighted share of wrong verdicts at 0.5, as the scores are used there,
+    then weighted log loss."""
+    p = np.clip(np.array([machine.score(d) for d in docs]), 1e-9, 1 - 1e-9)
+    total = max(row_weight.sum(), 1e-9)
+    wrong = float((row_weight * ((p >= 0.5) != (toxic == 1))).sum() / total)
+    return wrong, float(-(row_weight * (toxic * np.log(p) + (1 - toxic) * np.log(1 - p))).sum() / total)
+
+
+def chosen_fit(docs: list[np.ndarray], toxic: np.ndarray, row_weight: np.ndarray, inner: np.ndarray) -> tuple[Machine, int, int]:
+    """The machine refitted on all training rows with the number of terms and
+    passes of fewest weighted wrong verdicts (then least log loss) on the inner
+    fold (rows where inner is true), fitted on the rest. Ties go to fewer terms and passes. Without both
+    labels in both parts the largest allowed choice is taken."""
+    toxic_seen = int(toxic.sum())
+    allowed = [t for t in TERM_CHOICES if t <= max(TERM_CHOICES[0], TERMS_PER_TOXIC * toxic_seen)]
+    learn_on, judge_on = np.flatnonzero(~inner), np.flatnonzero(inner)
+    both = lambda at: len(at) and 0 < toxic[at].sum() < len(at)
+    if not (both(learn_on) and both(judge_on)):
+        return fit(docs, toxic, row_weight, terms=allowed[-1]), allowed[-1], EPOCHS
+    judged = [docs[k] for k in judge_on]
+    losses: dict[tuple[int, int], tuple[float, float]] = {}
+    for terms in allowed:
+
+        def judge(machine: Machine, epoch: int, terms: int = terms) -> None:
+            losses[(terms, epoch)] = _loss(machine, judged, toxic[judge_on], row_weight[judge_on])
+
+        fit([docs[k] for k in learn_on], toxic[learn_on], row_weight[learn_on], terms=terms, after_epoch=judge)
+    terms, epochs = min(losses, key=lambda key: (losses[key], key))
+    return fit(docs, toxic, row_weight, terms=terms, epochs=epochs), terms, epochs
+
+
 def held_out(id_col: str) -> Column:
     """Rows of one fold in FOLDS by the id's text; their labels are not learnt."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(False))
@@ -160,7 +211,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         drawn = {1: max(1, int(y.sum())), 0: max(1, int((1 - y).sum()))}
         scale = {k: counts.get(k, 0) / drawn[k] for k in drawn}
         weight = np.where(y == 1, scale[1], scale[0]).astype(np.float64)
-        m = fit(lists, y, weight / max(weight.mean(), 1e-9))
+        ids = table["id"].cast(pa.string()).to_pylist()
+        inner = np.array([zlib.crc32(f"inner:{i}".encode()) % INNER_FOLDS == 0 for i in ids], dtype=bool)
+        m, _, _ = chosen_fit(lists, y, weight / max(weight.mean(), 1e-9), inner)
         return pa.table({"bias": [m.bias], "known": [m.known.tobytes()], "weight": [m.weight.tobytes()], "vectors": [m.vectors.tobytes()]})
 
     kind = docs.schema[id_col].dataType.simpleString()
