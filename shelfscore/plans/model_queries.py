@@ -110,6 +110,22 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(models.predict(stored, data.where(F.col("part") == "test")))
 
 
+@registered(
+    "model_by_content",
+    S.query(_EXAMPLES, f"select id, label, round(x * {_SLOPE}, 6) as prediction from examples where part = 'test'"),
+)
+def model_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and save under the content of the training rows and the
+    estimator's parameters; the second call loads it."""
+    data = cosine_examples(spark, sf_dir)
+    root = scratch_dir(spark, "models")
+    estimator = Pipeline(stages=[models.linear_regression("normal")])
+    training = data.where(F.col("part") == "train")
+    files.fit_or_load_by_content(estimator, training, root, "cosine-line")
+    stored = files.fit_or_load_by_content(estimator, training, root, "cosine-line")
+    return _scores(models.predict(stored, data.where(F.col("part") == "test")))
+
+
 # ---- hashed TF-IDF vectors -------------------------------------------------
 
 

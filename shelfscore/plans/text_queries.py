@@ -92,6 +92,19 @@ def materialize_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.materialize_once(bag.where(F.lit(False)), root, "search-terms")
 
 
+@registered(
+    "materialize_by_content", S.query([S.TRAIN, S.SEARCH, S.SEARCH_BAG], "select id, term, tf from search_bag")
+)
+def materialize_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set is stored under the content of the table it is made of; the
+    second call, with the same table, finds it and computes nothing."""
+    root = scratch_dir(spark, "features")
+    search = inputs.search(spark, sf_dir)
+    bag = bags.count_terms(search, "id")
+    files.stored_by_content(bag, root, "search-terms", [search])
+    return files.stored_by_content(bag.where(F.lit(False)), root, "search-terms", [search])
+
+
 # ---- projection, filter, limit ---------------------------------------------
 
 

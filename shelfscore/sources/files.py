@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -76,3 +79,76 @@ def fit_or_load(estimator: Pipeline, training: DataFrame, path: str) -> Pipeline
         estimator.fit(training).write().overwrite().save(f"{path}/model")
         spark.range(1).write.mode("overwrite").parquet(f"{path}/finished")
     return PipelineModel.load(f"{path}/model")
+
+
+# ---- reuse by content ------------------------------------------------------
+
+
+def content_key(sources: list[DataFrame], params: dict | None = None) -> str:
+    """A digest of the rows of the sources as multisets, their schemas and the
+    parameters. Each row's 64-bit hash is summed in two 32-bit halves as exact
+    decimals, so the order and partitioning of rows change nothing, and a
+    changed, added or removed row changes the sums. One aggregate per source."""
+    parts = []
+    for df in sources:
+        h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if df.columns else F.lit(0).cast("long")
+        low = F.pmod(h, F.lit(2**32)).cast("decimal(38,0)")
+        high = F.shiftrightunsigned(h, 32).cast("decimal(38,0)")
+        row = df.agg(F.count("*"), F.sum(low), F.sum(high)).first()
+        parts.append(f"{df.schema.simpleString()}|{row[0]}|{row[1] or 0}|{row[2] or 0}")
+    parts.append(repr(sorted((str(k), repr(v)) for k, v in (params or {}).items())))
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
+
+
+def _pointed(spark: SparkSession, pointer: str) -> str | None:
+    """The folder a finished pointer names, or None."""
+    if not _complete(spark, pointer):
+        return None
+    return spark.read.parquet(pointer).first()["path"]
+
+
+def _point(spark: SparkSession, pointer: str, path: str) -> None:
+    """Written last: only a finished folder is ever named."""
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(pointer)
+
+
+def stored_by_content(df: DataFrame, root: str, name: str, sources: list[DataFrame], params: dict | None = None) -> DataFrame:
+    """df written once per content of its sources and parameters, then read.
+
+    The set lies in a folder of its own run under the content key; a pointer
+    named by the key is written after it. A later call with equal sources (in
+    any order) reads the set the pointer names; a changed source makes a new
+    key, so a stale set is never read. Two writers of one key write two
+    folders, both whole, and the pointer names one of them."""
+    spark = df.sparkSession
+    key = content_key(sources, params)
+    pointer = f"{root}/{name}/{key}.pointer"
+    path = _pointed(spark, pointer)
+    if path is None:
+        path = f"{root}/{name}/{key}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        _point(spark, pointer, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _estimator_params(estimator) -> dict:
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    found = {}
+    for k, stage in enumerate(stages):
+        for param, value in stage.extractParamMap().items():
+            found[f"{k}.{type(stage).__name__}.{param.name}"] = value
+    return found
+
+
+def fit_or_load_by_content(estimator: Pipeline, training: DataFrame, root: str, name: str) -> PipelineModel:
+    """A model saved once per content of its training rows and the
+    estimator's parameters, as stored_by_content keeps sets."""
+    spark = training.sparkSession
+    key = content_key([training], _estimator_params(estimator))
+    pointer = f"{root}/{name}/{key}.pointer"
+    path = _pointed(spark, pointer)
+    if path is None:
+        path = f"{root}/{name}/{key}-{uuid.uuid4().hex}"
+        estimator.fit(training).write().save(path)
+        _point(spark, pointer, path)
+    return PipelineModel.load(path)

@@ -1,0 +1,71 @@
+"""Reuse of stored sets and models by the content of their sources."""
+
+import os
+
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from shelfscore.operators import models
+from shelfscore.sources import files
+from shelfscore.sources.scratch import scratch_dir
+
+
+def source(spark, rows, parts=1):
+    return spark.createDataFrame(rows, "k long, v string").repartition(parts)
+
+
+def test_order_and_partitioning_change_no_key(spark):
+    rows = [(k, f"v{k % 3}" if k % 5 else None) for k in range(200)]
+    a = files.content_key([source(spark, rows, 1)])
+    b = files.content_key([source(spark, list(reversed(rows)), 7)])
+    assert a == b
+    assert files.content_key([source(spark, rows[:-1] + [(199, "changed")])]) != a
+    assert files.content_key([source(spark, rows + [rows[0]])]) != a
+    assert files.content_key([source(spark, rows)], {"n": 2}) != files.content_key([source(spark, rows)], {"n": 3})
+
+
+def test_changed_source_is_computed_anew_and_reordered_is_reused(spark):
+    root = scratch_dir(spark, "reuse")
+    rows = [(k, "x") for k in range(10)]
+    first = source(spark, rows)
+    assert files.stored_by_content(first.select("k"), root, "set", [first]).count() == 10
+    reordered = source(spark, list(reversed(rows)), 3)
+    # Equal content: the stored set is read, the empty frame is not written.
+    assert files.stored_by_content(reordered.select("k").where(F.lit(False)), root, "set", [reordered]).count() == 10
+    changed = source(spark, rows[:9])
+    assert files.stored_by_content(changed.select("k"), root, "set", [changed]).count() == 9
+
+
+def test_two_writers_of_one_key_leave_whole_sets(spark):
+    root = scratch_dir(spark, "writers").removeprefix("file://")
+    src = source(spark, [(1, "a"), (2, "b")])
+    key = files.content_key([src])
+    # Both find no pointer and write; the pointer names one whole folder.
+    for _ in range(2):
+        path = f"{root}/set/{key}-{os.urandom(4).hex()}"
+        src.write.parquet(path)
+        files._point(spark, f"{root}/set/{key}.pointer", path)
+    folders = [d for d in os.listdir(f"{root}/set") if not d.endswith(".pointer")]
+    assert len(folders) == 2 and all(os.path.exists(f"{root}/set/{d}/_SUCCESS") for d in folders)
+    assert files.stored_by_content(src.where(F.lit(False)), root, "set", [src]).count() == 2
+
+
+def test_model_follows_rows_and_parameters(spark):
+    root = scratch_dir(spark, "models")
+
+    def examples(pairs):
+        df = spark.createDataFrame(pairs, "x double, label double")
+        return VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+
+    line = Pipeline(stages=[models.linear_regression("normal")])
+    first = files.fit_or_load_by_content(line, examples([(1.0, 2.0), (2.0, 4.0)]), root, "m")
+    again = files.fit_or_load_by_content(line, examples([(2.0, 4.0), (1.0, 2.0)]), root, "m")
+    assert again.stages[0].coefficients[0] == pytest.approx(first.stages[0].coefficients[0]) == pytest.approx(2.0)
+    changed = files.fit_or_load_by_content(line, examples([(1.0, 9.0), (2.0, 18.0)]), root, "m")
+    assert changed.stages[0].coefficients[0] == pytest.approx(9.0)
+    other = Pipeline(stages=[models.linear_regression("l-bfgs")])
+    assert files.content_key([examples([(1.0, 2.0)])], files._estimator_params(other)) != files.content_key(
+        [examples([(1.0, 2.0)])], files._estimator_params(line)
+    )
