@@ -100,6 +100,72 @@ def query_product_cosine(training: DataFrame, search: DataFrame, shared: DataFra
     return joined.select("id", "product_uid", "relevance", "partners", mean)
 
 
+# Rows of a product in one block of the pair tiles.
+PAIR_BLOCK = 256
+
+
+def row_pair_cosines(training: DataFrame, search: DataFrame, shared: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
+    """(id, search_id, product_uid, cosine) for every pair of a training row
+    and a search of the same product, the row with itself included: the
+    pairs that joining the rows on product_uid gives.
+
+    A row's weights are its product's shared weights plus its own terms, so
+    the dot with a search's unit vector is the product's part (once per
+    search) plus the row's own terms (a short map). The rows of a product are
+    numbered without gathering them and cut into blocks of `block`; each pair
+    of blocks is one join key, so a product of m rows makes (m / block)^2 keys
+    of at most block^2 pairs and no task holds all m^2."""
+    from shelfscore.operators import rows as ordering
+
+    shared = written(shared, "product-bag")
+    counts = written(_term_counts(training, search, shared), "term-counts")
+    idf = lookup(_term_idf(counts, shared, training), "term-idf")
+    weighed = counts.join(idf, "term")
+    whole = (F.col("own") + F.col("inherited")) * F.col("product_idf")
+    base = F.col("inherited") * F.col("product_idf")
+    base_norms = shared.join(idf, "term").groupBy("product_uid")
+    base_norms = lookup(base_norms.agg(F.sum((F.col("tf") * F.col("product_idf")) ** 2).alias("base_norm")), "base-norms")
+    own = F.col("own") * F.col("product_idf")
+    sides = weighed.groupBy("id").agg(
+        F.sum(whole * whole - base * base).alias("added_norm"),
+        F.map_from_entries(F.collect_list(F.when(F.col("own") > 0, F.struct("term", own)))).alias("added"),
+    )
+    asked = F.col("asked") * F.col("search_idf")
+    units = l2_normalize(weighed.where(F.col("asked") > 0).select("id", "product_uid", "term", asked.alias("weight")), "id")
+    base_dots = units.join(shared.select("product_uid", "term", "tf"), ["product_uid", "term"]).join(idf, "term")
+    base_dots = base_dots.groupBy("id").agg(F.sum(F.col("tf") * F.col("product_idf") * F.col("unit")).alias("base_dot"))
+    unit_maps = units.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term", "unit"))).alias("units"))
+
+    keys = training.select("product_uid", "id")
+    placed = ordering.flatten_in_order(keys, "product_uid", ["id"], F.array(F.col("id").cast("string")))
+    placed = written(placed.select("product_uid", F.floor(F.col("place") / block).alias("blk"), F.col("item").alias("sid")), "pair-blocks")
+    blocks = lookup(placed.groupBy("product_uid").agg(F.max("blk").alias("last")), "pair-block-counts")
+    norm = F.sqrt(F.coalesce("base_norm", F.lit(0.0)) + F.coalesce("added_norm", F.lit(0.0)))
+    left = placed.join(blocks, "product_uid").join(
+        training.select(F.col("id").cast("string").alias("sid"), "id"), "sid"
+    ).join(sides, "id", "left").join(base_norms, "product_uid", "left")
+    left = left.select(
+        "product_uid", F.col("blk").alias("bl"), F.explode(F.sequence(F.lit(0), F.col("last"))).alias("br"),
+        "id", norm.alias("norm"), F.coalesce("added", F.create_map().cast("map<string,double>")).alias("added"),
+    )
+    right = placed.join(blocks, "product_uid").join(
+        search.select(F.col("id").cast("string").alias("sid"), F.col("id").alias("search_id")), "sid"
+    ).join(unit_maps.withColumnRenamed("id", "search_id"), "search_id", "left").join(
+        base_dots.withColumnRenamed("id", "search_id"), "search_id", "left"
+    )
+    right = right.select(
+        "product_uid", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("bl"), F.col("blk").alias("br"),
+        "search_id", "units", F.coalesce("base_dot", F.lit(0.0)).alias("base_dot"),
+    )
+    tiles = left.join(right, ["product_uid", "bl", "br"])
+    added_dot = F.aggregate(
+        F.map_entries("added"), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(F.try_element_at("units", e["key"]), F.lit(0.0))
+    )
+    has = (F.col("norm") > 0) & F.col("units").isNotNull()
+    cosine = F.when(has, (F.col("base_dot") + added_dot) / F.col("norm")).otherwise(F.lit(0.0))
+    return tiles.select("id", "search_id", "product_uid", cosine.alias("cosine"))
+
+
 # ---- feature columns against each other ------------------------------------
 
 

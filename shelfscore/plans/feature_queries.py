@@ -326,6 +326,33 @@ def inner_join_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_cosine(spark, sf_dir, "product_uid").withColumn("mean_cosine", F.round("mean_cosine", 6))
 
 
+@registered(
+    "inner_join_pairs",
+    S.query(
+        [
+            *_COSINE_SIDES,
+            """
+row_pairs as (
+  select t.id, t.product_uid, s.id as search_id from train t join train s on s.product_uid = t.product_uid)""",
+            """
+dots as (
+  select p.id, p.search_id, sum(w.weight * a.weight) as dot
+  from row_pairs p join weighted w on w.id = p.id join asked a on a.id = p.search_id and a.term = w.term
+  group by p.id, p.search_id)""",
+        ],
+        """
+select p.id, p.search_id, p.product_uid,
+  round(case when n.norm * q.norm > 0 then coalesce(d.dot, 0.0) / (n.norm * q.norm) else 0.0 end, 6) as cosine
+from row_pairs p left join dots d using (id, search_id) left join norms n using (id)
+left join asked_norms q on q.id = p.search_id""",
+    ),
+)
+def inner_join_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row against every search of its product, one row per pair."""
+    found = cosine.row_pair_cosines(inputs.training(spark, sf_dir), inputs.search(spark, sf_dir), inputs.shared(spark, sf_dir))
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 # ---- pairs of rows ---------------------------------------------------------
 
 

@@ -165,3 +165,18 @@ def test_counted_examples_stand_for_all_row_pairs(spark):
     for r in counted:
         totals[(r["label"], round(r["distance"], 9))] += r["pairs"]
     assert totals == listed
+
+
+def test_tiled_pairs_do_not_depend_on_the_block(spark):
+    """Products cut into blocks of 2 rows give the same pairs as whole ones;
+    every row meets every search of its product once."""
+    from shelfscore.operators import cosine
+    from shelfscore.plans import inputs
+
+    folder = "/root/testdata/sf0.001"
+    sides = (inputs.training(spark, folder), inputs.search(spark, folder), inputs.shared(spark, folder))
+    rounded = lambda df: sorted((r["id"], r["search_id"], round(r["cosine"], 9)) for r in df.collect())
+    small = rounded(cosine.row_pair_cosines(*sides, block=2))
+    assert small == rounded(cosine.row_pair_cosines(*sides))
+    sizes = Counter(r["product_uid"] for r in sides[0].select("product_uid").collect())
+    assert len(small) == sum(m * m for m in sizes.values()) == len(set((a, b) for a, b, _ in small))
