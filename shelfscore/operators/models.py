@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
-from math import sqrt
+from math import exp, factorial, sqrt
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfscore.functions.sampling import unit_hash
+
 
 # Fixed values of the models.
 DEPTH = 5
@@ -30,6 +33,77 @@ def random_forest(trees: int = TREES, **columns: str) -> RandomForestRegressor:
     )
 
 
+# Largest number of copies of a row in one bootstrap: Poisson(1) exceeds it
+# with a probability of about 1e-19.
+MOST_COPIES = 20
+
+
+def poisson_copies(u: Column, most: int = MOST_COPIES) -> Column:
+    """Copies of a row in a bootstrap, Poisson(1) by its inverse distribution
+    at u in [0, 1)."""
+    bounds, total = [], 0.0
+    for k in range(most):
+        total += exp(-1.0) / factorial(k)
+        bounds.append((total, k))
+    found = F.lit(most)
+    for bound, k in reversed(bounds):
+        found = F.when(u < F.lit(bound), F.lit(k)).otherwise(found)
+    return found.cast("double")
+
+
+class HashedForest:
+    """Trees of a forest whose bootstrap and feature subsets are drawn by
+    hashes: row copies from (seed, tree, id), features from (seed, tree,
+    index). The same rows in any order or layout give the same trees."""
+
+    def __init__(self, trees: list, subsets: list[list[int]], features: str) -> None:
+        self.trees, self.subsets, self.features = trees, subsets, features
+
+    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        names = []
+        for k, (tree, subset) in enumerate(zip(self.trees, self.subsets, strict=True)):
+            sliced = VectorSlicer(inputCol=self.features, outputCol=f"_f{k}", indices=subset).transform(df)
+            df = tree.copy().setFeaturesCol(f"_f{k}").setPredictionCol(f"_p{k}").transform(sliced).drop(f"_f{k}")
+            names.append(f"_p{k}")
+        mean = sum((F.col(n) for n in names), F.lit(0.0)) / F.lit(float(len(names)))
+        return df.withColumn(output, mean).drop(*names)
+
+
+def _drawn(seed: int, tree: int, index: int, share: float) -> bool:
+    digest = hashlib.md5(f"{seed}:{tree}:{index}".encode()).hexdigest()
+    return int(digest[:8], 16) / 2**32 < share
+
+
+def hashed_forest(
+    training: DataFrame,
+    size: int,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    seed: int = SEED,
+    share: float = 1 / 3,
+    id_col: str = "id",
+    features: str = "features",
+    label: str = "label",
+) -> HashedForest:
+    """A forest of regression trees: each tree sees every row as often as a
+    Poisson(1) number drawn from the row's id says (as a weight) and a third
+    of the features drawn by index. Split candidates are Spark's own; up to
+    10,000 training rows they come from all rows, above that from a sample
+    that Spark draws per partition."""
+    fitted, subsets = [], []
+    for t in range(trees):
+        subset = [i for i in range(size) if _drawn(seed, t, i, share)] or [0]
+        copies = poisson_copies(unit_hash(F.lit(seed), F.lit(t), F.col(id_col)))
+        rows = training.withColumn("_copies", copies).where(F.col("_copies") > 0)
+        rows = VectorSlicer(inputCol=features, outputCol="_f", indices=subset).transform(rows)
+        tree = DecisionTreeRegressor(
+            maxDepth=depth, maxBins=BINS, impurity="variance", seed=seed, featuresCol="_f", labelCol=label, weightCol="_copies"
+        )
+        fitted.append(tree.fit(rows))
+        subsets.append(subset)
+    return HashedForest(fitted, subsets, features)
+
+
 def linear_regression(solver: str = "l-bfgs", **columns: str) -> LinearRegression:
     """Least squares without intercept or penalty. "normal" solves the normal
     equations exactly, for up to 4,096 features."""

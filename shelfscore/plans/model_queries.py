@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscore.operators import models, rows
+from shelfscore.operators import features, models, rows
 from shelfscore.plans import sql as S
 from shelfscore.plans.feature_queries import COSINE, bundle_features, euclidean_examples, jaccard_examples, row_cosine
 from shelfscore.plans.registry import registered
@@ -149,6 +149,16 @@ def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_and_score(models.random_forest(), vector_examples(spark, sf_dir))
 
 
+@registered("random_forest_hashed")
+def random_forest_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest with bootstrap and feature subsets drawn by hashes, so that
+    its trees do not depend on how the rows lie in files or partitions."""
+    data = vector_examples(spark, sf_dir)
+    size = features.BUCKETS
+    forest = models.hashed_forest(data.where(F.col("part") == "train"), size)
+    return _scores(forest.transform(data.where(F.col("part") == "test")))
+
+
 @registered("explain_model")
 def explain_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The learned tree as text, one row per line, with its test error. A tree of
