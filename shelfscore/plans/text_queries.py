@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfscore.functions import text
 from shelfscore.operators import bags, features, models, rows
@@ -28,6 +29,31 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_csv(spark, files.write_csv(part, scratch_dir(spark, "csv")), part.schema)
 
 
+_NARROW_KEY = "tinyint"
+
+
+@registered(
+    "scan_csv_rejects",
+    f"""select p_partkey, p_partkey > 127 as rejected,
+    case when p_partkey > 127 then 'not a {_NARROW_KEY}: p_partkey' end as reason from part""",
+)
+def scan_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`part` written as CSV and read back with a key type too narrow for keys
+    above 127: one row per line, good or rejected, with the reason of a
+    rejection. The key of a rejected line is its first field."""
+    part = tables.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    path = files.write_csv(part, scratch_dir(spark, "csv-rejects"))
+    declared = T.StructType.fromDDL(f"p_partkey {_NARROW_KEY}, p_name string, p_retailprice double")
+    good, rejected = files.scan_csv_with_rejects(spark, path, declared)
+    kept = good.select(
+        F.col("p_partkey").cast("int").alias("p_partkey"),
+        F.lit(False).alias("rejected"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    key = F.split("line", ",")[0].cast("int").alias("p_partkey")
+    return kept.unionByName(rejected.select(key, F.lit(True).alias("rejected"), "reason"))
+
+
 @registered(
     "rename_columns",
     S.query([S.ATTRIBUTES], "select product_uid as item, name as property, value as content from attributes"),

@@ -9,7 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from shelfscore.sources.scratch import written
 
 
 def scan_csv(
@@ -24,6 +26,49 @@ def scan_csv(
     return reader.csv(path)
 
 
+REJECTED = "_rejected"
+
+
+def scan_csv_with_rejects(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Header CSV read once, split into the rows that parse and the lines that
+    do not, so a bad line neither fails the job nor hides as nulls.
+
+    Good rows have the declared columns. Rejected lines are (file, line, reason)
+    with the raw text of the record; reason is the first that holds of:
+    ``unclosed quote`` (an odd number of double quotes), ``too many fields``,
+    ``too few fields``, ``not a <type>: <column>`` (the first field, in schema
+    order, that is present but does not parse or does not fit its type).
+    Every data line is in exactly one of the two outputs. The files are parsed
+    once into a written table in the shared folder that both outputs read:
+    Spark refuses a CSV scan that needs only the raw-text column (as a count
+    would), and the second reader does not parse the files again."""
+    if REJECTED in schema.fieldNames():
+        raise ValueError(f"{REJECTED} is reserved for the raw text of rejected lines")
+    read = StructType([*schema.fields, StructField(REJECTED, StringType())])
+    options = {"header": True, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    parsed = spark.read.schema(read).options(**options).csv(path).withColumn("file", F.col("_metadata.file_path"))
+    scanned = written(parsed, "csv-parsed")
+    good = scanned.where(F.col(REJECTED).isNull()).select(*schema.fieldNames())
+
+    names = schema.fieldNames()
+    raw = F.col(REJECTED)
+    texts = StructType([StructField(f"f{i}", StringType()) for i in range(len(names) + 1)] + [StructField("_odd", StringType())])
+    fields = F.from_csv(raw, texts.simpleString(), {"escape": '"', "columnNameOfCorruptRecord": "_odd"})
+    quotes = F.length(raw) - F.length(F.regexp_replace(raw, '"', ""))
+    typed = [
+        F.when(fields[f"f{i}"].isNotNull() & F.col(name).isNull(), F.lit(f"not a {schema[name].dataType.simpleString()}: {name}"))
+        for i, name in enumerate(names)
+    ]
+    reason = (
+        F.when(quotes % 2 == 1, F.lit("unclosed quote"))
+        .when(fields[f"f{len(names)}"].isNotNull(), F.lit("too many fields"))
+        .when(fields[f"f{len(names) - 1}"].isNull() & ~raw.endswith(","), F.lit("too few fields"))
+        .otherwise(F.coalesce(*typed, F.lit("unparsable")))
+    )
+    rejected = scanned.where(raw.isNotNull()).select("file", raw.alias("line"), reason.alias("reason"))
+    return good, rejected
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.option("header", True).option("escape", '"').csv(path)
     return path

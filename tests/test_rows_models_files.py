@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import types as T
 from pyspark.ml import Pipeline
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -122,6 +123,32 @@ def test_junk_labels_fail_unless_lenient(spark, tmp_path):
     assert [r["relevance"] for r in lenient.orderBy("id").collect()] == [2.5, None]
 
 
+def test_rejected_lines_come_out_beside_the_good_rows(spark, tmp_path):
+    lines = ["1,x,2.5", '2,"y ""q"", z",3.5', "z,w,1.0", "4,v", "5,u,6.0,7", '6,"open,1.0', "7,t,nan", "8,,"]
+    (tmp_path / "t.csv").write_text("a,b,c\n" + "\n".join(lines) + "\n")
+    schema = T.StructType.fromDDL("a int, b string, c double")
+    good, rejected = files.scan_csv_with_rejects(spark, str(tmp_path / "t.csv"), schema)
+    assert sorted(map(tuple, good.collect()), key=lambda r: r[0]) == [(1, "x", 2.5), (2, 'y "q", z', 3.5), (8, None, None)]
+    found = {r["line"]: r["reason"] for r in rejected.collect()}
+    assert found == {
+        "z,w,1.0": "not a int: a",
+        "4,v": "too few fields",
+        "5,u,6.0,7": "too many fields",
+        '6,"open,1.0': "unclosed quote",
+        "7,t,nan": "not a double: c",
+    }
+    assert {r["file"] for r in rejected.collect()} == {(tmp_path / "t.csv").as_uri().replace("file:///", "file:/")}
+    assert good.count() + rejected.count() == len(lines)
+
+
+def test_rejected_lines_of_an_empty_file_and_a_reserved_name(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("a,b\n")
+    good, rejected = files.scan_csv_with_rejects(spark, str(tmp_path / "e.csv"), T.StructType.fromDDL("a int, b string"))
+    assert good.count() == 0 and rejected.count() == 0
+    with pytest.raises(ValueError):
+        files.scan_csv_with_rejects(spark, str(tmp_path / "e.csv"), T.StructType.fromDDL("_rejected string"))
+
+
 def test_stopword_file_is_split_on_non_word_characters(spark, tmp_path):
     (tmp_path / "words.csv").write_bytes(b"a,\r\ndon't,\r\nThe,\r\na,\r\n\r\n")
     words = files.load_stopwords(spark, str(tmp_path / "words.csv"))
