@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import reduce
 from math import exp, factorial, sqrt
 
@@ -204,3 +205,97 @@ def model_grid(cells: list[tuple[str, DataFrame, str | None, list[tuple[str, obj
         for model, estimator in estimators
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+# ---- the fitted model as a table of nodes --------------------------------
+
+# Largest number of nodes a model may have to be sent whole to every task:
+# a tree of depth 5 has at most 63, a forest of 5 such trees 315.
+MOST_NODES = 1 << 16
+
+_SPLIT = re.compile(r"^(If|Else) \(feature (\d+) (<=|>|in|not in) (.+)\)$")
+_LEAF = re.compile(r"^Predict: (\S+)$")
+
+
+def _tree_nodes(lines: list[str], tree: int) -> list[tuple]:
+    """Pre-order lines of one tree as (tree, node, depth, feature, threshold,
+    prediction); nodes are numbered as in a heap: root 1, children 2n, 2n+1."""
+    nodes: list[tuple] = []
+
+    def walk(i: int, node: int, depth: int) -> int:
+        text = lines[i].strip()
+        leaf = _LEAF.match(text)
+        if leaf:
+            nodes.append((tree, node, depth, None, None, float(leaf.group(1))))
+            return i + 1
+        split = _SPLIT.match(text)
+        if not split or split.group(1) != "If" or split.group(3) != "<=":
+            raise ValueError(f"only splits of continuous features are read, not {text!r}")
+        nodes.append((tree, node, depth, int(split.group(2)), float(split.group(4)), None))
+        i = walk(i + 1, 2 * node, depth + 1)
+        if not lines[i].strip().startswith("Else"):
+            raise ValueError(f"expected the other branch at {lines[i]!r}")
+        return walk(i + 1, 2 * node + 1, depth + 1)
+
+    walk(0, 1, 0)
+    return nodes
+
+
+def node_table(spark, model) -> DataFrame:
+    """A fitted tree or forest of Spark ML as rows (tree, node, depth, feature,
+    threshold, prediction, leaf): rows with x[feature] <= threshold go to the
+    child 2 * node, the others to 2 * node + 1; a leaf has no feature and
+    predicts. A tree is tree 0. Read from the model's own description, whose
+    numbers print exactly; a model over MOST_NODES nodes is refused, since
+    the table is sent to every task."""
+    size = getattr(model, "totalNumNodes", None) or model.numNodes
+    if size > MOST_NODES:
+        raise ValueError(f"{size} nodes exceed MOST_NODES = {MOST_NODES}")
+    lines = [line for line in model.toDebugString.split("\n")[1:] if line.strip()]
+    starts = [i for i, line in enumerate(lines) if line.strip().startswith("Tree ")]
+    if not starts:
+        rows = _tree_nodes(lines, 0)
+    else:
+        bounds = [*starts, len(lines)]
+        rows = [n for t, (a, b) in enumerate(zip(bounds, bounds[1:])) for n in _tree_nodes(lines[a + 1 : b], t)]
+    schema = "tree int, node long, depth int, feature int, threshold double, prediction double"
+    return spark.createDataFrame(rows, schema).withColumn("leaf", F.col("feature").isNull())
+
+
+def node_statistics(nodes: DataFrame, data: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
+    """For every node of every tree the rows of ``data`` that reach it: rows,
+    mean and population variance of the label (null for a node no row
+    reaches, rows 0). Rows are routed one level per step by a join with the
+    nodes of that level, every row through every tree; each row then counts
+    once at each node on its path, in one aggregate with map-side
+    combination. Rows with a null label count in rows but not in mean or
+    variance; a null feature vector is not routed and counts nowhere."""
+    from pyspark.ml.functions import vector_to_array
+
+    depth = nodes.agg(F.max("depth")).first()[0]
+    trees = nodes.agg(F.max("tree")).first()[0]
+    splits = F.broadcast(
+        nodes.where(~F.col("leaf")).select("tree", F.col("node").alias("at"), "feature", "threshold")
+    )
+    routed = data.where(F.col(features).isNotNull()).select(
+        F.col(label).cast("double").alias("y"),
+        vector_to_array(features).alias("x"),
+        F.explode(F.sequence(F.lit(0), F.lit(trees))).alias("tree"),
+        F.lit(1).cast("long").alias("at"),
+    ).withColumn("path", F.array("at"))
+    for _ in range(depth):
+        stepped = routed.join(splits, ["tree", "at"], "left")
+        right = (F.element_at("x", F.col("feature") + 1) > F.col("threshold")).cast("long")
+        child = F.when(F.col("feature").isNull(), F.col("at")).otherwise(2 * F.col("at") + right)
+        routed = stepped.select("y", "x", "tree", child.alias("at"), "path").withColumn(
+            "path", F.array_union("path", F.array("at"))
+        )
+    visits = routed.select("tree", F.explode("path").alias("node"), "y")
+    counted = visits.groupBy("tree", "node").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("y").alias("mean"), F.var_pop("y").alias("variance")
+    )
+    return (
+        nodes.join(counted, ["tree", "node"], "left")
+        .withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+        .select("tree", "node", "depth", "feature", "threshold", "prediction", "leaf", "rows", "mean", "variance")
+    )

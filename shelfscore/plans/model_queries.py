@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,6 +174,24 @@ def explain_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.where(F.col("line") > 0).select(F.lit("decision_tree").alias("model"), "mse", "line", "text")
 
 
+@registered("explain_model_nodes")
+def explain_model_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the tree and of the forest fitted on the cosine, with the
+    training and the test rows that reach it: rows, mean and variance of the
+    relevance, one row per (model, part, tree, node)."""
+    data = cosine_examples(spark, sf_dir)
+    training = data.where(F.col("part") == "train")
+    fitted = [("decision_tree", models.decision_tree().fit(training)), ("random_forest", models.random_forest().fit(training))]
+    described = [
+        models.node_statistics(models.node_table(spark, model), data.where(F.col("part") == part)).select(
+            F.lit(name).alias("model"), F.lit(part).alias("part"), "*"
+        )
+        for name, model in fitted
+        for part in ("train", "test")
+    ]
+    return reduce(DataFrame.unionByName, described)
+
+
 # ---- every feature set with every model ------------------------------------
 
 
