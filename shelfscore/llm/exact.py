@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from shelfscore.llm.hashing import mix
 from shelfscore.llm.storage import bounded_batches, spaced, written
@@ -210,7 +211,9 @@ def deduplicate(
     """One row per input row: id, keep_id, group_size, kept, digest.
 
     `closed` tells which rows form the snapshot; the others are the new batch.
-    Without it the lower half of the id range is the snapshot.
+    Without it the lower half of the id range is the snapshot, or, for ids
+    that are not numbers, the ids of even hash. The choice changes the work
+    of each part, never the result.
 
     Defined cases: a null text counts as empty, and all blank texts equal one
     space or nothing, by the normalisation. Rows with the same id and text are
@@ -223,8 +226,12 @@ def deduplicate(
         rows = written(digests(docs, id_col, text_col, digest, flag), "digests")
     else:
         rows = written(digests(docs, id_col, text_col, digest), "digests")
-        ends = rows.agg((F.min("id") + (F.max("id") - F.min("id")) / 2).alias("pivot"))
-        rows = rows.withColumn("closed", F.coalesce(F.col("id") < ends.scalar(), F.lit(False)))
+        if isinstance(rows.schema["id"].dataType, NumericType):
+            ends = rows.agg((F.min("id") + (F.max("id") - F.min("id")) / 2).alias("pivot"))
+            rows = rows.withColumn("closed", F.coalesce(F.col("id") < ends.scalar(), F.lit(False)))
+        else:
+            # Ids without a range (text, binary): half of them by a hash.
+            rows = rows.withColumn("closed", F.coalesce(F.pmod(F.xxhash64("id"), F.lit(2)) == 0, F.lit(False)))
     sizes = rows.agg(F.count_if("closed").alias("old"), F.count("*").alias("all")).first()
     buckets = max(1, -(-sizes["old"] // keys_per_filter))
     slices = max(1, -(-(sizes["all"] - sizes["old"]) // (buckets * 4 * keys_per_filter)))

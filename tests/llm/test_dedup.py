@@ -49,6 +49,13 @@ def test_exact_groups_equal_brute_force(spark, cases, closed):
     assert sorted(rows_of(found, "id", "keep_id", "group_size", "kept", "sha"), key=key) == sorted(want, key=key)
 
 
+def test_exact_groups_of_text_ids_equal_brute_force(spark, cases):
+    named = cases.withColumn("doc_id", F.concat(F.lit("d:"), F.col("doc_id").cast("string")))
+    found = exact.deduplicate(named, keys_per_filter=4).withColumn("sha", F.lower(F.hex("digest")))
+    want = brute_exact(rows_of(named, "doc_id", "text"))
+    assert sorted(rows_of(found, "id", "keep_id", "group_size", "kept", "sha"), key=key) == sorted(want, key=key)
+
+
 def test_texts_that_share_a_digest_are_told_apart_by_their_bytes(cases):
     def weak(text):
         return F.unhex(F.substring(F.sha2(text, 256), 1, 1).cast("string"))
