@@ -13,6 +13,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,7 +119,8 @@ def write_archives(
             columns = [batch[c].to_pylist() for c in ("page", "url", "response")]
             for page, url, response, data in zip(*columns, batch["payload"].cast(pa.binary()).to_pylist(), strict=True):
                 digest = sha1_base32(data)
-                name = lambda of, d=digest: f"<urn:x-page:{'' if of is None else of}:{d}>"
+                # Ids are percent-quoted, so one with a colon or bracket keeps its name's shape.
+                name = lambda of, d=digest: f"<urn:x-page:{'' if of is None else quote(of, safe='')}:{d}>"
                 own = [("WARC-Target-URI", _one_line(url)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha1:{digest}")]
                 kind = ("Content-Type", "application/http; msgtype=response")
                 head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -168,7 +170,7 @@ def parsed(spark: SparkSession, path: str) -> DataFrame:
                 for fields, block in records(data):
                     get = fields.get
                     name = get("warc-record-id", "").strip("<>")
-                    page = name.split(":")[2] if name.startswith("urn:x-page:") else None
+                    page = unquote(name.split(":")[2]) if name.startswith("urn:x-page:") else None
                     number, total = get("warc-segment-number"), get("warc-segment-total-length")
                     origin = get("warc-segment-origin-id", "").strip("<>") or (name if number else None)
                     digest = get("warc-payload-digest", "").removeprefix("sha1:") or None

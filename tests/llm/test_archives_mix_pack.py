@@ -44,6 +44,20 @@ def _pages(spark):
     return spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"page": F.lit(1), "key": F.lit("z"), "block": F.lit(0)})
 
 
+def test_text_page_ids_with_colons_and_brackets_round_trip(spark):
+    rows = [("a:b", "same"), ("<x>", "same"), ("50%", "other"), ("p q:2", "same"), ("", "lone"), ("é:1", "other")]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id string, url string, html string")
+    last = {}
+    for i, h in rows:
+        last[h] = max(last.get(h, i), i)
+    want = [(i, "revisit" if last[h] != i else "response", last[h] if last[h] != i else None) for i, h in rows]
+    # An empty id names no page.
+    want = [(i or None, kind, of) for i, kind, of in want]
+    found = warc.round_trip(pages, segment_bytes=1_000).select("page", "record_type", "refers_to")
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(want, key=key)
+
+
 @pytest.mark.parametrize("least", [0, 5])
 def test_archives_round_trip(spark, least):
     pages = _pages(spark)
