@@ -26,11 +26,10 @@ TOXIC_ROWS = 6_000
 OTHER_ROWS = 14_000
 # Terms in the model: those that tell the labels apart best in the sample.
 # How many, and how many passes, is chosen on an inner fold of the training
-# rows among these sizes (no more than TERMS_PER_TOXIC per toxic row seen) and
-# up to EPOCHS passes; the held-out fold is never looked at.
+# rows among these sizes and up to EPOCHS passes; the held-out fold is never
+# looked at.
 TERMS = 16_384
 TERM_CHOICES = (64, 128, 256, 512, 1_024, 2_048, 4_096, 8_192, 16_384)
-TERMS_PER_TOXIC = 8
 FACTORS = 6
 EPOCHS = 12
 FOLDS = 5
@@ -159,8 +158,7 @@ def chosen_fit(docs: list[np.ndarray], toxic: np.ndarray, row_weight: np.ndarray
     passes of fewest weighted wrong verdicts (then least log loss) on the inner
     fold (rows where inner is true), fitted on the rest. Ties go to fewer terms and passes. Without both
     labels in both parts the largest allowed choice is taken."""
-    toxic_seen = int(toxic.sum())
-    allowed = [t for t in TERM_CHOICES if t <= max(TERM_CHOICES[0], TERMS_PER_TOXIC * toxic_seen)]
+    allowed = list(TERM_CHOICES)
     learn_on, judge_on = np.flatnonzero(~inner), np.flatnonzero(inner)
     both = lambda at: len(at) and 0 < toxic[at].sum() < len(at)
     if not (both(learn_on) and both(judge_on)):
