@@ -180,3 +180,13 @@ def test_tiled_pairs_do_not_depend_on_the_block(spark):
     assert small == rounded(cosine.row_pair_cosines(*sides))
     sizes = Counter(r["product_uid"] for r in sides[0].select("product_uid").collect())
     assert len(small) == sum(m * m for m in sizes.values()) == len(set((a, b) for a, b, _ in small))
+
+
+def test_sets_with_one_common_rare_element_are_not_fetched(spark):
+    """Two sets of 40 that share one rare element only lie far apart; they were
+    a candidate pair, for which both contents were shuffled."""
+    sets = {i: [f"shared{i // 2}"] + [f"own{i}-{k:02d}" for k in range(39)] for i in range(20)}
+    sets[20], sets[21] = ["both%02d" % k for k in range(40)], ["both%02d" % k for k in range(36)]
+    rows = spark.createDataFrame(list(sets.items()), "set_id long, elements array<string>")
+    found = pairs.jaccard_candidates(rows, 0.5).collect()
+    assert [(r["a"], r["b"]) for r in found] == [(20, 21)]
