@@ -190,3 +190,16 @@ def test_sets_with_one_common_rare_element_are_not_fetched(spark):
     rows = spark.createDataFrame(list(sets.items()), "set_id long, elements array<string>")
     found = pairs.jaccard_candidates(rows, 0.5).collect()
     assert [(r["a"], r["b"]) for r in found] == [(20, 21)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_opened_fronts_are_not_broadcast(spark, tmp_path):
+    """Written sets are small files, their opened fronts are not."""
+    rows = spark.createDataFrame([(i, [f"w{i}", "x", "y"], [1.0, 2.0]) for i in range(9)], "set_id long, elements array<string>, hashes array<double>")
+    rows.write.parquet(str(tmp_path / "sets"))
+    sets = spark.read.parquet(str(tmp_path / "sets"))
+    for bucketed in (False, True):
+        assert "BroadcastHashJoin" not in plan_of(pairs.jaccard_candidates(sets, 0.5, bucketed))
