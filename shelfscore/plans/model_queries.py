@@ -137,7 +137,7 @@ def vector_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit_and_score(estimator, data: DataFrame) -> DataFrame:
-    model = Pipeline(stages=[estimator]).fit(data.where(F.col("part") == "train"))
+    model = models.fit(estimator, data.where(F.col("part") == "train"))
     return _scores(models.predict(model, data.where(F.col("part") == "test")))
 
 
@@ -166,7 +166,7 @@ def explain_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The learned tree as text, one row per line, with its test error. A tree of
     depth 5 has 63 nodes at most."""
     data = cosine_examples(spark, sf_dir)
-    model = models.decision_tree().fit(data.where(F.col("part") == "train"))
+    model = models.decision_tree().fit(models.tree_rows(data.where(F.col("part") == "train")))
     error = models.mse(models.predict(model, data.where(F.col("part") == "test")))
     lines = F.split(F.lit(model.toDebugString), "\n")
     described = error.select(F.round("mse", 6).alias("mse"), F.posexplode(lines).alias("line", "text"))
@@ -181,7 +181,7 @@ def explain_model_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     relevance, one row per (model, part, tree, node)."""
     data = cosine_examples(spark, sf_dir)
     training = data.where(F.col("part") == "train")
-    fitted = [("decision_tree", models.decision_tree().fit(training)), ("random_forest", models.random_forest().fit(training))]
+    fitted = [("decision_tree", models.decision_tree().fit(models.tree_rows(training))), ("random_forest", models.random_forest().fit(models.tree_rows(training)))]
     described = [
         models.node_statistics(models.node_table(spark, model), data.where(F.col("part") == part)).select(
             F.lit(name).alias("model"), F.lit(part).alias("part"), "*"
