@@ -1,8 +1,13 @@
 """What one task takes in does not grow with the tables."""
 
+import itertools
+import math
+from collections import Counter
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from shelfscore.operators import bags, features, models, pairs, rows
+from shelfscore.operators import bags, cosine, features, models, pairs, rows
 
 
 def plan_of(df):
@@ -61,3 +66,27 @@ def test_content_is_listed_once(spark):
     sets = pairs.euclidean_sets(bag, bag.select("id").distinct())
     assert "collect_list" not in plan_of(sets)
     assert {(r["set_id"], r["copies"]) for r in sets.collect()} == {(1, 2), (3, 1)}
+
+
+def test_column_products_are_summed_where_they_are_made(spark):
+    """Every product of two entries of a row was shuffled. Three ranges of
+    columns, a row with an entry that comes twice, and a null entry."""
+    rng = np.random.default_rng(2)
+    listed = [(int(i), int(j), float(v)) for i in range(12) for j, v in zip(rng.choice(5_000, 60, False) // 40 * 40, rng.random(60))]
+    listed = list({(i, j): (i, j, v) for i, j, v in listed}.values()) + [(0, 40, 0.5), (1, 80, None)]
+    norms, want = Counter(), Counter()
+    for _, j, v in listed:
+        norms[j] += (v or 0.0) ** 2
+    for (i, a, u), (k, b, v) in itertools.product(listed, listed):
+        if i == k and a < b and None not in (u, v):
+            want[a, b] += u * v / math.sqrt(norms[a] * norms[b])
+    entries = spark.createDataFrame(listed, "id long, index int, value double")
+    merged = cosine._merge_single_row_columns(cosine._unit_columns(entries))
+    assert merged.where("columns > 1").count() == 0
+    sums = cosine._row_products(merged, F.lit(1.0))
+    above, below = plan_of(sums).split("MapInArrow")
+    assert "Exchange" not in above and "Exchange" in below
+    found = {(r["i"], r["j"]): r["sim"] for r in sums.collect()}
+    assert sums.schema["i"].dataType.simpleString() == "int"
+    assert {k for k in found if k[0] < k[1]} == set(want)
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
