@@ -90,3 +90,14 @@ def test_column_products_are_summed_where_they_are_made(spark):
     assert sums.schema["i"].dataType.simpleString() == "int"
     assert {k for k in found if k[0] < k[1]} == set(want)
     assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_row_terms_are_dealt_out_before_they_are_counted(spark):
+    """A hash table of all terms of a file's rows was built ahead of the shuffle."""
+    train, _, _ = frames(spark)
+    shared = spark.createDataFrame([(0, "search", 3), (9, "title", 1)], "product_uid long, term string, tf long")
+    counts = cosine._term_counts(bags.training_tokens(train, []), bags.search_tokens(train), shared)
+    assert "partial_count" not in plan_of(counts) and "REPARTITION_BY_NUM" in plan_of(counts)
+    assert "SortMergeJoin" in plan_of(counts)
+    found = {(r["id"], r["term"]): (r["own"], r["asked"], r["inherited"]) for r in counts.collect()}
+    assert found["r0", "search"] == (1, 1, 3) and found["r1", "search"] == (1, 1, 0) and found["r5", "5"] == (1, 0, 0)
