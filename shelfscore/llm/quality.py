@@ -98,19 +98,22 @@ def _log_ratio(trusted: Column, corpus: Column, n: int, m: int) -> Column:
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, n: int, m: int) -> DataFrame:
-    """(gram, ratio) of every n-gram that occurs more than once. docs is (id,
-    text), trusted a table of ids of any length."""
+    """(gram, ratio) of every n-gram that occurs more than once and in a trusted
+    document. The others need no row: the ratio of what no trusted document has
+    does not depend on its corpus count, so it is that of an n-gram that occurs
+    once. docs is (id, text), trusted a table of ids of any length."""
     marks = trusted.select(F.col("id").alias("trusted_id"))
     rows = docs.join(marks, F.col("id") == F.col("trusted_id"), "left")
     rows = rows.select(F.col("trusted_id").isNotNull().cast("int").alias("t"), content_words(F.col("text")).alias("words"))
     grams = rows.select("t", F.explode(gram_buckets("words")).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted")).where("corpus > 1")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted")).where("corpus > 1 and trusted > 0")
     return written(counts.select("gram", _log_ratio(F.col("trusted"), F.col("corpus"), n, m).alias("ratio")), "gram-ratios")
 
 
 def gram_sums(docs: DataFrame, ratios: DataFrame) -> DataFrame:
     """(key, total, alone, n_grams) by text: the sum of its known ratios and how
-    many of its n-grams occur nowhere else and have none."""
+    many of its n-grams occur nowhere else, or in no trusted document, and have
+    none."""
     rows = docs.select(text_key(), content_words(F.col("text")).alias("words"))
     met = rows.select("key", F.explode(gram_buckets("words")).alias("gram")).join(ratios, "gram", "left")
     sums = met.groupBy("key").agg(
@@ -152,7 +155,8 @@ def judged(
     sizes = rows.agg(F.sum(grams).alias("n"), F.sum(grams * F.col("trusted")).alias("m")).first()
     n, m = sizes["n"] or 0, sizes["m"] or 0
     sums = gram_sums(docs, gram_ratios(docs, trusted, n, m))
-    # What occurs once in the corpus is trusted if its only row is.
+    # What has no ratio occurs once in the corpus, and is trusted if its only row
+    # is, or in no trusted row, so that this one is not.
     rows = rows.join(sums, "key", "left").withColumn("once", _log_ratio(F.col("trusted"), F.lit(1), n, m))
     mean = (F.col("total") + F.col("alone") * F.col("once")) / (F.col("n_grams") * F.lit(1e6))
     rows = rows.withColumn("score", F.coalesce(mean, F.lit(0.0)))

@@ -143,6 +143,20 @@ def test_quality_scores_follow_exact_counts(spark, cases, good):
         assert abs(r["score"] - want[r["id"]]) < 1e-6
 
 
+def test_ratios_are_listed_for_trusted_ngrams_only(spark):
+    """What no trusted document has was listed and joined as well."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b c d"), (3, "c d e"), (4, "c d e"), (5, "b f")], "id long, text string")
+    trusted = spark.createDataFrame([(1,), (5,)], "id long")
+    listed = quality.gram_ratios(docs, trusted, 20, 6).collect()
+    want = spark.createDataFrame([("a",), ("b",)], "w string").select(F.xxhash64("w").alias("g")).unionByName(
+        spark.sql("select xxhash64('a', 'b') as g")
+    )
+    assert sorted(r["gram"] for r in listed) == sorted(r["g"] for r in want.collect())
+    sums = quality.gram_sums(docs, quality.gram_ratios(docs, trusted, 20, 6)).collect()
+    # Repeated texts share a key: (3, 4) have 10 n-grams, none of them trusted.
+    assert sorted((r["alone"], r["n_grams"]) for r in sums) == [(0, 3), (2, 3), (4, 7), (10, 10)]
+
+
 @pytest.mark.parametrize("share", [4, 1])
 def test_junk_of_held_out_labels_goes_at_two_sizes(spark, share):
     d = "/root/testdata/sf0.1"
