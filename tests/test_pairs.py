@@ -70,6 +70,22 @@ def test_exact_jaccard_misses_no_pair(spark, threshold):
     assert collected(pairs.jaccard_pairs_exact(terms, threshold)) == want
 
 
+def test_contents_are_fetched_for_near_sketches_only(spark, monkeypatch):
+    """The contents of every candidate pair were shuffled."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)]
+    # Sets of one size that meet in the rarest word and share little else.
+    bags = {i: Counter(["rare", *rng.choices(words, k=30)]) for i in range(60)} | {i: Counter({"far": 200 + i, "z": 1}) for i in range(60, 64)}
+    bags |= {100 + i: bags[i] + Counter(["w1"]) for i in range(5)}
+    fetched, fetch = [], pairs.with_payload
+    monkeypatch.setattr(pairs, "with_payload", lambda p, sets, name: fetched.append((name, p.count())) or fetch(p, sets, name))
+    want = expected(bags, lambda b: frozenset(b.items()), euclidean, pairs.THRESHOLD)
+    assert collected(pairs.euclidean_pairs_exact(*frames(spark, bags))) == want
+    count = dict(fetched)
+    near = sum(1 for k in want if k[0] != k[1])
+    assert near <= count["elements"] < count["sketch"] / 4
+
+
 @pytest.mark.parametrize("threshold", [0.5, 1.0, 1.5, 2.5])
 def test_exact_euclidean_misses_no_pair(spark, threshold):
     bags = random_bags(11)
