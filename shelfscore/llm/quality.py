@@ -5,14 +5,17 @@ and the whole corpus. A text's score is the mean over its n-grams of
 log(p_trusted / p_corpus); texts under a fixed threshold are dropped. Corpus
 counts cover every document, trusted counts every document that is marked good.
 Both lie in a table by n-gram that grows with the corpus; the n-grams of each
-text join it."""
+text join it. Counts and joins are made in rounds over parts of the n-grams, so
+that only one part's shuffle lies on disk."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfscore.llm.storage import content_words, written
+from shelfscore.llm.storage import content_words, shuffles_dropped, written
 
 # An n-gram is counted under its whole 64-bit hash.
 BUCKETS = 1 << 64
@@ -23,6 +26,13 @@ THRESHOLD = -0.1
 PRIOR_PER_TRUSTED = 4.0
 PRIOR = 327_680 / BUCKETS
 WINDOW = 5
+# Parts of the n-grams, by hash, that are counted, and joined, one after another.
+COUNT_ROUNDS = 3
+JOIN_ROUNDS = 4
+# The most frequent n-grams, so many at most, meet the texts where they lie.
+HEAD = 1 << 17
+# So many trusted ids are sent to the texts (some 40 MB); more are merged with them.
+SENT_IDS = 1 << 20
 # Marks that count as symbols, and white space.
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\f\r"
@@ -36,7 +46,7 @@ def base_counts(docs: DataFrame, text: Column, words: str) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; `words`
     is the column of the text's words."""
     known = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(known, "\n"), lambda x: _removed(x, BLANKS) != "")
+    lines = F.filter(F.split(known, "\n"), lambda x: F.ltrim(x, F.lit(BLANKS)) != "")
     row = F.col(words)
     windows = F.transform(
         F.slice(row, F.lit(1), F.greatest(F.size(row) - (WINDOW - 1), F.lit(0))),
@@ -45,8 +55,9 @@ def base_counts(docs: DataFrame, text: Column, words: str) -> DataFrame:
     df = docs.withColumns(
         {
             "n_words": F.size(row).cast("long"),
-            "word_chars": F.length(_removed(known, BLANKS)).cast("long"),
-            "n_symbols": (F.length(known) - F.length(_removed(known, SYMBOLS))).cast("long"),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
+            # Few texts have any.
+            "n_symbols": F.when(known.rlike(f"[{SYMBOLS}]"), F.length(known) - F.length(_removed(known, SYMBOLS))).otherwise(0).cast("long"),
             "lines_": lines,
             "windows_": windows,
         }
@@ -90,6 +101,21 @@ def gram_buckets(words: str, buckets: int = BUCKETS) -> Column:
     return grams if buckets >= BUCKETS else F.transform(grams, lambda h: F.pmod(h, F.lit(buckets)))
 
 
+def gram_rows(texts: DataFrame, *columns: str) -> DataFrame:
+    """(columns, gram) with one row for each hash of gram_buckets("words"). The
+    words are hashed as rows, in generated code, which array functions lack."""
+    row = F.col("words")
+    # The last word has no next one.
+    following = F.slice(row, F.lit(2), F.greatest(F.size(row), F.lit(1)))
+    pairs = texts.select(*columns, F.inline(F.arrays_zip(row, following)).alias("one_", "next_"))
+    hashes = F.array(F.xxhash64("one_"), F.when(F.col("next_").isNotNull(), F.xxhash64("one_", "next_")))
+    return pairs.select(*columns, F.explode(hashes).alias("gram")).where("gram is not null")
+
+
+def _in_round(k: int, rounds: int) -> Column:
+    return F.pmod("gram", F.lit(rounds)) == k
+
+
 def _log_ratio(trusted: Column, corpus: Column, n: int, m: int) -> Column:
     """log(p_trusted / p_corpus) in millionths, of n and m n-grams in all."""
     prior = max(PRIOR * BUCKETS, PRIOR_PER_TRUSTED * m)
@@ -98,28 +124,59 @@ def _log_ratio(trusted: Column, corpus: Column, n: int, m: int) -> Column:
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, n: int, m: int) -> DataFrame:
-    """(gram, ratio) of every n-gram that occurs more than once and in a trusted
-    document. The others need no row: the ratio of what no trusted document has
-    does not depend on its corpus count, so it is that of an n-gram that occurs
-    once. docs is (id, text), trusted a table of ids of any length."""
+    """(gram, corpus, ratio) of every n-gram that occurs more than once and in a
+    trusted document. The others need no row: the ratio of what no trusted
+    document has does not depend on its corpus count, so it is that of an n-gram
+    that occurs once. docs is (id, text), trusted a table of ids of any length."""
     marks = trusted.select(F.col("id").alias("trusted_id"))
+    marks = marks.hint("broadcast" if marks.count() <= SENT_IDS else "merge")
     rows = docs.join(marks, F.col("id") == F.col("trusted_id"), "left")
     rows = rows.select(F.col("trusted_id").isNotNull().cast("int").alias("t"), content_words(F.col("text")).alias("words"))
-    grams = rows.select("t", F.explode(gram_buckets("words")).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted")).where("corpus > 1 and trusted > 0")
-    return written(counts.select("gram", _log_ratio(F.col("trusted"), F.col("corpus"), n, m).alias("ratio")), "gram-ratios")
+    grams = gram_rows(rows, "t")
+    parts = []
+    for k in range(COUNT_ROUNDS):
+        counts = grams.where(_in_round(k, COUNT_ROUNDS)).groupBy("gram").agg(F.count("*").alias("corpus"), F.sum("t").alias("trusted"))
+        ratio = _log_ratio(F.col("trusted"), F.col("corpus"), n, m).alias("ratio")
+        parts.append(written(counts.where("corpus > 1 and trusted > 0").select("gram", "corpus", ratio), "gram-ratios"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _head_level(level: Column, ratios: DataFrame) -> int:
+    """The lowest level of corpus counts from which on at most HEAD n-grams lie."""
+    sizes = {r["level"]: r["n"] for r in ratios.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
+    lowest, held = max(sizes, default=0) + 1, 0
+    for at in sorted(sizes, reverse=True):
+        held += sizes[at]
+        if held > HEAD:
+            break
+        lowest = at
+    return lowest
 
 
 def gram_sums(docs: DataFrame, ratios: DataFrame) -> DataFrame:
     """(key, total, alone, n_grams) by text: the sum of its known ratios and how
     many of its n-grams occur nowhere else, or in no trusted document, and have
-    none."""
+    none. Ratios of the most frequent n-grams are sent to the texts; the other
+    n-grams of the texts are shuffled to theirs."""
     rows = docs.select(text_key(), content_words(F.col("text")).alias("words"))
-    met = rows.select("key", F.explode(gram_buckets("words")).alias("gram")).join(ratios, "gram", "left")
-    sums = met.groupBy("key").agg(
-        F.coalesce(F.sum("ratio"), F.lit(0)).alias("total"), F.count_if(F.col("ratio").isNull()).alias("alone"), F.count("*").alias("n_grams")
-    )
-    return written(sums, "gram-sums")
+    grams = gram_rows(rows, "key")
+    level = F.floor(4 * F.log2("corpus")).cast("int")
+    lowest = _head_level(level, ratios)
+    head = F.broadcast(ratios.where(level >= lowest).select("gram", "ratio"))
+    rest = ratios.where(level < lowest).select("gram", "ratio")
+
+    def summed(met: DataFrame, size: Column) -> DataFrame:
+        known = met.groupBy("key").agg(F.sum("ratio").alias("total"), F.count("ratio").alias("known"), size.alias("n_grams"))
+        return written(known, "gram-sums")
+
+    parts = [summed(grams.join(head, "gram", "left"), F.count("*"))]
+    for k in range(JOIN_ROUNDS):
+        mine = _in_round(k, JOIN_ROUNDS)
+        others = grams.where(mine).join(head, "gram", "left_anti")
+        parts.append(summed(others.join(rest.where(mine), "gram"), F.sum(F.lit(0).cast("long"))))
+    sums = reduce(DataFrame.unionByName, parts).groupBy("key")
+    sums = sums.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.sum("known").alias("known"), F.sum("n_grams").alias("n_grams"))
+    return written(sums.select("key", "total", (F.col("n_grams") - F.col("known")).alias("alone"), "n_grams"), "gram-sums")
 
 
 def text_key() -> Column:
@@ -154,7 +211,8 @@ def judged(
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
     sizes = rows.agg(F.sum(grams).alias("n"), F.sum(grams * F.col("trusted")).alias("m")).first()
     n, m = sizes["n"] or 0, sizes["m"] or 0
-    sums = gram_sums(docs, gram_ratios(docs, trusted, n, m))
+    with shuffles_dropped(docs.sparkSession):
+        sums = gram_sums(docs, gram_ratios(docs, trusted, n, m))
     # What has no ratio occurs once in the corpus, and is trusted if its only row
     # is, or in no trusted row, so that this one is not.
     rows = rows.join(sums, "key", "left").withColumn("once", _log_ratio(F.col("trusted"), F.lit(1), n, m))

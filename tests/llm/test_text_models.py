@@ -157,6 +157,29 @@ def test_ratios_are_listed_for_trusted_ngrams_only(spark):
     assert sorted((r["alone"], r["n_grams"]) for r in sums) == [(0, 3), (2, 3), (4, 7), (10, 10)]
 
 
+def test_ngrams_are_shuffled_in_parts(spark, cases, good, monkeypatch):
+    """All n-grams of all texts lay in the shuffles of one query, and stayed on
+    disk until the next one was done."""
+    plans, dropped = [], []
+
+    def seen(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        dropped.append((label, spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")))
+        return written(df, label)
+
+    monkeypatch.setattr(quality, "written", seen)
+    scores = {str(r) for r in quality.judged(cases, good).collect()}
+    texts = [label for label, plan in plans if "pmod" in plan]
+    assert (texts.count("gram-ratios"), texts.count("gram-sums")) == (quality.COUNT_ROUNDS, quality.JOIN_ROUNDS)
+    assert all(on == "true" for label, on in dropped if label.startswith("gram-"))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    # Whatever number of n-grams is sent to the texts, and of parts.
+    for head, rounds in ((0, 1), (3, 2)):
+        monkeypatch.setattr(quality, "HEAD", head)
+        monkeypatch.setattr(quality, "JOIN_ROUNDS", rounds)
+        assert {str(r) for r in quality.judged(cases, good).collect()} == scores
+
+
 @pytest.mark.parametrize("share", [4, 1])
 def test_junk_of_held_out_labels_goes_at_two_sizes(spark, share):
     d = "/root/testdata/sf0.1"
