@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscore.sources.scratch import scratch_dir, written
+from shelfscore.sources.scratch import scratch_dir, shuffles_dropped, written
 
 __all__ = ["bounded_batches", "content_words", "number_array", "read", "scratch_dir", "shuffles_dropped", "spaced", "written"]
 
@@ -32,19 +29,6 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-@contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Inside, every query's shuffle files go when it ends, and not when the
-    driver collects its garbage; for steps that each write their result."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

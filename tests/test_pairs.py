@@ -219,3 +219,53 @@ def test_opened_fronts_are_not_broadcast(spark, tmp_path):
     sets = spark.read.parquet(str(tmp_path / "sets"))
     for bucketed in (False, True):
         assert "BroadcastHashJoin" not in plan_of(pairs.jaccard_candidates(sets, 0.5, bucketed))
+
+
+def test_large_buckets_are_compared_in_tiles(spark, monkeypatch):
+    """Pairs that met in an element were shuffled, once for each. Sketches are,
+    and a large bucket is cut so that no task compares all of it."""
+    monkeypatch.setattr(pairs, "TILE_ROWS", 10)
+    monkeypatch.setattr(pairs, "MOST_ROWS", 12)
+    bags = random_bags(17, n=90)
+    bags = {i: b + Counter(f"t{i % 40}-{k}" for k in range(i % 7)) for i, b in bags.items()}
+    terms, _ = frames(spark, bags)
+    filled = {i: b for i, b in bags.items() if b}
+    assert collected(pairs.jaccard_pairs_exact(terms, 0.5)) == expected(filled, lambda b: frozenset(b), jaccard, 0.5)
+    sets = spark.createDataFrame([(i, list(b), [float(i % 2)]) for i, b in filled.items()], "set_id long, elements array<string>, hashes array<double>")
+    opened = pairs.parity_sketches(sets).select("set_id", "n", "sketch", F.posexplode("hashes").alias("table", "hash"))
+    tiles = pairs.compared_tiles(opened).groupBy("table", "hash", "i", "j").agg(F.count("*").alias("n")).collect()
+    assert len(tiles) > 12 and max(r["n"] for r in tiles) < 40
+    found = {(r["a"], r["b"]) for r in pairs.jaccard_candidates(sets, 0.5, bucketed=True).collect()}
+    near = {(a, b) for a in filled for b in filled if a < b and (a - b) % 2 == 0 and jaccard(filled[a], filled[b]) < 0.5}
+    assert near <= found and all((a - b) % 2 == 0 and a < b for a, b in found)
+    assert "SortMergeJoin" not in plan_of(pairs.jaccard_candidates(sets, 0.5))
+
+
+def test_sketches_differ_no_more_than_their_sets(spark):
+    rng = random.Random(23)
+    rows = [(i, rng.sample(range(5_000), n)) for i, n in enumerate([1, 40, 90, 300, 700, 1_500, 3_000])]
+    rows += [(10 + i, held[: len(held) * 9 // 10] + [9_000 + i]) for i, held in rows]
+    sets = spark.createDataFrame([(i, e, [0.0]) for i, e in rows], "set_id long, elements array<int>, hashes array<double>")
+    held = {r["set_id"]: int.from_bytes(r["sketch"], "little") for r in pairs.parity_sketches(sets).collect()}
+    size = {r["set_id"]: 8 * len(r["sketch"]) for r in pairs.parity_sketches(sets).collect()}
+    assert size[0] == 256 and size[4] == 4_096
+    for a, x in rows:
+        for b, y in rows:
+            folded = {}
+            for i in (a, b):
+                folded[i] = 0
+                width = min(size[a], size[b])
+                for k in range(0, size[i], width):
+                    folded[i] ^= held[i] >> k & (1 << width) - 1
+            assert (folded[a] ^ folded[b]).bit_count() <= len(set(x) ^ set(y))
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    """They stayed on disk until the driver collected its garbage."""
+    from shelfscore.sources.scratch import written
+
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    step = written(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count(), "step")
+    assert tracker.shuffleStatuses().size() == before
+    assert step.count() == 7
