@@ -1,11 +1,14 @@
 """From catalogue files to model errors, with text ids as files give them."""
 
 import csv
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfscore.operators import bags, cosine, features, models, pairs, rows
+from shelfscore.plans import feature_queries as Q
+from shelfscore.plans import inputs
 from shelfscore.sources import files, tables
 
 COLOURS = ["red", "blue", "green", "grey"]
@@ -67,3 +70,29 @@ def test_catalogue_to_scores(spark, catalogue, tmp_path):
     sets, members = pairs.minhash_sets(counts)
     found = pairs.labelled_distances(pairs.jaccard_lsh_join(sets, 0.5), members, train, "relevance")
     assert found.where("distance = 0").agg(F.sum("pairs")).first()[0] >= 60
+
+
+def test_near_pairs_without_a_common_bucket_are_counted(spark, tmp_path):
+    """Pairs below the threshold were left out where no MinHash value was equal."""
+    rng = random.Random(4)
+    words = [f"word{k}" for k in range(400)]
+    base = rng.sample(words, 40)
+    texts = [" ".join(rng.sample(base, 30) + rng.sample(words, 6)) for _ in range(24)]
+    n = range(len(texts))
+    data = {
+        "documents": ([(i, texts[i]) for i in n], "doc_id long, text string"),
+        "conversations": ([(i, 0, "user", f"ask{i % 3}") for i in n], "conv_id long, turn long, role string, text string"),
+        "part": ([(i, "thing", "brand", "kind", 1) for i in n], "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        "labels": ([(i, 1) for i in n], "doc_id long, quality int"),
+    }
+    for name, (rows, schema) in data.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    counts = inputs.bundle_counts(spark, str(tmp_path)).groupBy("id").agg(F.collect_set("index").alias("s")).collect()
+    sets = [set(r["s"]) for r in counts]
+    near = [1 - len(a & b) / len(a | b) for a in sets for b in sets]
+    want = sum(1 for d in near if d < 0.5)
+    found = Q.jaccard_pairs(spark, str(tmp_path)).agg(F.sum("pairs")).first()[0]
+    collapsed, members = pairs.minhash_sets(inputs.bundle_counts(spark, str(tmp_path)))
+    rows = tables.train(spark, str(tmp_path))
+    bucketed = pairs.labelled_distances(pairs.jaccard_lsh_join(collapsed, 0.5), members, rows, "relevance")
+    assert bucketed.agg(F.sum("pairs")).first()[0] < found == want
