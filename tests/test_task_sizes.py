@@ -101,3 +101,20 @@ def test_row_terms_are_dealt_out_before_they_are_counted(spark):
     assert "SortMergeJoin" in plan_of(counts)
     found = {(r["id"], r["term"]): (r["own"], r["asked"], r["inherited"]) for r in counts.collect()}
     assert found["r0", "search"] == (1, 1, 3) and found["r1", "search"] == (1, 1, 0) and found["r5", "5"] == (1, 0, 0)
+
+
+def test_column_products_are_summed_in_passes(spark, monkeypatch):
+    """A row's lists were sent to all pairs of ranges at once."""
+    rng = np.random.default_rng(5)
+    listed = [(i, int(j), float(v)) for i in range(30) for j, v in zip(rng.choice(9_000, 50, False) // 90 * 90, rng.random(50))]
+    entries = spark.createDataFrame(list({(i, j): (i, j, v) for i, j, v in listed}.values()), "id long, index int, value double")
+
+    def found(df):
+        return {(r["i"], r["columns_i"], r["j"], r["columns_j"], round(r["sim"], 9)) for r in df.collect()}
+
+    once = found(cosine.column_cosine_exact(entries, 0.1)), found(cosine.column_cosine_dimsum(entries, 9_000, 0.1, 0.1))
+    monkeypatch.setattr(cosine, "_PASS", 300)
+    monkeypatch.setattr(cosine, "_CELLS", 1)
+    exact, sampled = cosine.column_cosine_exact(entries, 0.1), cosine.column_cosine_dimsum(entries, 9_000, 0.1, 0.1)
+    assert "MapInArrow" not in plan_of(exact) and plan_of(exact).count("column-sums") >= 4
+    assert (found(exact), found(sampled)) == once and len(once[0]) > 1_000
